@@ -42,11 +42,10 @@ def source_rates(df: DataFrame, source: str, size: F.Column, weights: dict[str,
         for name, w in weights.items():
             weight = F.when(F.col("_source").eqNullSafe(F.lit(name)), F.lit(float(w))).otherwise(weight)
     per = per.withColumn("_weight", weight)
-    total = per.agg(F.sum("_weight").alias("w"), F.sum("_size").alias("s"))
-    spend = F.lit(float(budget)) if budget is not None else F.col("s")
-    return per.crossJoin(F.broadcast(total)).select(  # one row of totals
-        "_source", F.when((F.col("_size") > 0) & (F.col("w") > 0), F.col("_weight") / F.col("w") * spend / F.col("_size")).otherwise(0.0).alias("_rate")
-    )
+    total = per.agg(F.sum("_weight").alias("w"), F.sum("_size").alias("s")).first()  # two numbers
+    w, spend = total["w"] or 0.0, float(budget) if budget is not None else total["s"] or 0.0
+    rate = F.col("_weight") / F.lit(w) * F.lit(spend) / F.col("_size") if w > 0 else F.lit(0.0)
+    return per.select("_source", F.when(F.col("_size") > 0, rate).otherwise(0.0).alias("_rate"))
 
 
 def poisson_cdf(rate: F.Column) -> F.Column:
