@@ -99,4 +99,7 @@ def judge(df: DataFrame, key: str = "doc_id", text: str = "text", rules: tuple[R
         cascade = F.when(F.expr(r.fails), r.name) if cascade is None else cascade.when(F.expr(r.fails), r.name)
     counted = base_counts(plain, text).withColumn("base_failed", F.expr(BASE_FAILED))
     verdict = counted.withColumn("failed_rule", F.when(~F.col("base_failed"), cascade) if cascade is not None else F.lit(None).cast("string"))
-    return verdict.withColumn("kept", ~F.col("base_failed") & F.col("failed_rule").isNull()).drop("_words", "_lines")
+    # The row number is never negative; it only keeps a caller's filter above this projection. Pushed below, the
+    # filter would repeat the whole tree of counts once per use, and planning would not end.
+    here = F.monotonically_increasing_id() >= 0
+    return verdict.withColumn("kept", ~F.col("base_failed") & F.col("failed_rule").isNull() & here).drop("_words", "_lines")
