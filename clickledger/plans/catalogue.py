@@ -1,15 +1,421 @@
-"""The driver's catalogue of queries with the SQL that checks them."""
+"""The driver's catalogue of queries with the SQL that checks them.
+
+Every query runs the engine's own operators over the whole `events` table (through the adapter); the SQL restates its meaning
+independently.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from clickledger.functions.contracts import COUNTERS, DIMENSIONS, Rules
+from clickledger.operators import metrics, monitor, paging, reconcile, results, validate
+from clickledger.plans import adapter
+from clickledger.plans.batch import Outcome, calculate
+from clickledger.sources import packets as sources
+
+RULES = Rules()
+_queries: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+_sql: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    """Register a query under its function's name, with its SQL."""
+
+    def add(f: Callable[[SparkSession, str], DataFrame]):
+        _queries[f.__name__] = f
+        if sql is not None:
+            _sql[f.__name__] = sql
+        return f
+
+    return add
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return dict(_queries)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_sql)
+
+
+def _outcome(spark: SparkSession, sf_dir: str) -> Outcome:
+    return calculate(adapter.packets(spark, sf_dir), RULES, adapter.campaigns(spark))
+
+
+# The meaning of the engine in SQL, as a chain of common table expressions.
+
+_BASE = f"WITH {adapter.ORACLE_ARRIVED}, {adapter.ORACLE_CAMPAIGNS}"
+
+_DISPOSED = (
+    _BASE
+    + """, coded AS (
+  SELECT *, CASE event_type WHEN 'impression' THEN impression_id WHEN 'click' THEN click_id ELSE conversion_id END AS business_id, event_type <> 'error' AS valid FROM arrived
+), numbered AS (
+  SELECT *, CASE WHEN valid THEN row_number() OVER (PARTITION BY valid, advertiser_id, app_id, event_id ORDER BY ordinal) END AS n_id FROM coded
+), twice AS (
+  SELECT *, CASE WHEN n_id = 1 THEN row_number() OVER (PARTITION BY n_id, advertiser_id, app_id, event_type, business_id ORDER BY ordinal) END AS n_key FROM numbered
+), disposed AS (
+  SELECT *, CASE WHEN NOT valid THEN 'SCHEMA_INVALID' WHEN n_id > 1 THEN 'DUPLICATE_EVENT_ID' WHEN n_key > 1 THEN 'DUPLICATE_BUSINESS_KEY' ELSE 'OK' END AS error_code,
+    CASE WHEN NOT valid THEN 'quarantined' WHEN n_id > 1 OR n_key > 1 THEN 'duplicate' ELSE 'cleaned' END AS disposition, 'offline:' || ordinal AS receipt_id, event_time + 250 AS received_at FROM twice
+)"""
+)
+
+_LINKED = (
+    _DISPOSED
+    + """, clean AS (SELECT * FROM disposed WHERE disposition = 'cleaned'),
+clicks AS (
+  SELECT c.*, CASE WHEN i.eid IS NULL THEN 'IMPRESSION_NOT_FOUND' WHEN i.user_id <> c.user_id THEN 'IMPRESSION_IDENTITY_MISMATCH' WHEN i.campaign_id <> c.campaign_id THEN 'IMPRESSION_CAMPAIGN_MISMATCH'
+      WHEN i.event_time > c.event_time THEN 'CLICK_BEFORE_IMPRESSION' WHEN c.event_time - i.event_time > 86400000 THEN 'IMPRESSION_WINDOW_EXCEEDED' ELSE 'OK' END AS reason,
+    i.campaign_id AS i_campaign, i.region AS i_region, i.app_version AS i_version, i.experiment_id AS i_experiment, i.variant AS i_variant, i.event_time AS i_time
+  FROM (SELECT * FROM clean WHERE event_type = 'click') c LEFT JOIN (SELECT * FROM clean WHERE event_type = 'impression') i
+    ON c.advertiser_id = i.advertiser_id AND c.app_id = i.app_id AND c.impression_id = i.impression_id
+), linked AS (
+  SELECT v.*, CASE WHEN c.eid IS NULL THEN 'CLICK_NOT_FOUND' WHEN c.user_id <> v.user_id THEN 'IDENTITY_MISMATCH' WHEN c.campaign_id <> v.campaign_id THEN 'CAMPAIGN_MISMATCH'
+      WHEN c.event_time > v.event_time THEN 'CLICK_AFTER_CONVERSION' WHEN v.event_time - c.event_time > 86400000 THEN 'ATTRIBUTION_WINDOW_EXCEEDED' ELSE 'MATCHED' END AS reason,
+    c.event_time AS c_time, c.reason = 'OK' AS exposed, c.i_campaign, c.i_region, c.i_version, c.i_experiment, c.i_variant
+  FROM (SELECT * FROM clean WHERE event_type = 'conversion') v LEFT JOIN clicks c
+    ON v.advertiser_id = c.advertiser_id AND v.app_id = c.app_id AND v.click_id = c.click_id
+), conversions AS (
+  SELECT *, reason = 'MATCHED' AS matched, reason = 'MATCHED' AND coalesce(exposed, false) AS shown,
+    CASE WHEN reason = 'MATCHED' AND row_number() OVER (PARTITION BY reason = 'MATCHED', advertiser_id, app_id, click_id ORDER BY ordinal) = 1 THEN 1 ELSE 0 END AS first_of_click FROM linked
+)"""
+)
+
+_CONTRIBUTED = (
+    _LINKED
+    + """, parts AS (
+  SELECT advertiser_id, app_id, campaign_id, region, app_version, experiment_id, variant, 'ALL' AS currency, event_time AS t, c.cohort AS cohort_basis, 1 AS impressions, 0 AS clicks, 0 AS matched_conversions, 0 AS unmatched_conversions, 0 AS converted_clicks, 0 AS value_minor
+  FROM clean, (VALUES ('occurrence'), ('impression')) AS c(cohort) WHERE event_type = 'impression'
+  UNION ALL
+  SELECT advertiser_id, app_id, CASE WHEN reason = 'OK' THEN i_campaign ELSE campaign_id END, coalesce(CASE WHEN reason = 'OK' THEN i_region ELSE region END, 'unknown'), CASE WHEN reason = 'OK' THEN i_version ELSE app_version END,
+    CASE WHEN reason = 'OK' THEN i_experiment ELSE 'unknown' END, CASE WHEN reason = 'OK' THEN i_variant ELSE 'unknown' END, 'ALL', CASE WHEN c.cohort = 'impression' THEN i_time ELSE event_time END, c.cohort, 0, 1, 0, 0, 0, 0
+  FROM clicks, (VALUES ('occurrence'), ('click'), ('impression')) AS c(cohort) WHERE c.cohort <> 'impression' OR reason = 'OK'
+  UNION ALL
+  SELECT advertiser_id, app_id, CASE WHEN shown THEN i_campaign ELSE campaign_id END, coalesce(CASE WHEN shown THEN i_region ELSE region END, 'unknown'), CASE WHEN shown THEN i_version ELSE app_version END,
+    CASE WHEN shown THEN i_experiment ELSE 'unknown' END, CASE WHEN shown THEN i_variant ELSE 'unknown' END, CASE WHEN c.cohort = 'conversion_value' THEN currency ELSE 'ALL' END, CASE WHEN c.cohort = 'occurrence' THEN event_time ELSE c_time END, c.cohort, 0, 0,
+    CASE WHEN matched THEN 1 ELSE 0 END, CASE WHEN matched THEN 0 ELSE 1 END, CASE WHEN c.cohort = 'click' THEN first_of_click ELSE 0 END, CASE WHEN c.cohort = 'conversion_value' THEN value_minor ELSE 0 END
+  FROM conversions, (VALUES ('occurrence'), ('click'), ('conversion_value')) AS c(cohort) WHERE c.cohort = 'occurrence' OR matched
+), channels AS (
+  SELECT p.*, coalesce((SELECT CASE WHEN d.deleted THEN 'deleted' ELSE d.channel END FROM campaigns d
+     WHERE d.campaign_id = p.campaign_id AND d.effective_from <= p.t AND (d.effective_to IS NULL OR p.t < d.effective_to) ORDER BY d.source_version DESC, d.effective_from DESC LIMIT 1), 'unknown') AS channel, t - t % 60000 AS window_start FROM parts p
+), metric AS (
+  SELECT advertiser_id, app_id, campaign_id, region, app_version, experiment_id, variant, currency, channel, window_start, cohort_basis,
+    CAST(sum(impressions) AS BIGINT) AS impressions, CAST(sum(clicks) AS BIGINT) AS clicks, CAST(sum(matched_conversions) AS BIGINT) AS matched_conversions, CAST(sum(unmatched_conversions) AS BIGINT) AS unmatched_conversions, CAST(sum(converted_clicks) AS BIGINT) AS converted_clicks, CAST(sum(value_minor) AS BIGINT) AS value_minor
+  FROM channels GROUP BY ALL
+), metrics AS (
+  SELECT '[' || concat_ws(',', '"' || advertiser_id || '"', '"' || app_id || '"', '"' || campaign_id || '"', '"' || region || '"', '"' || app_version || '"', '"' || experiment_id || '"', '"' || variant || '"', '"' || currency || '"', '"' || channel || '"', window_start, '"' || cohort_basis || '"', '"explicit-click-v1"') || ']' AS metric_key, * FROM metric
+), associations AS (
+  SELECT '["' || advertiser_id || '","' || app_id || '","' || conversion_id || '"]' AS association_key, conversion_id, click_id, CASE WHEN matched THEN 'matched' ELSE 'unmatched' END AS status, reason, event_time, receipt_id,
+    CASE WHEN shown THEN i_experiment ELSE 'unknown' END AS experiment_id, CASE WHEN shown THEN i_variant ELSE 'unknown' END AS variant FROM conversions
+)"""
+)
+
+_KEYS = (*DIMENSIONS, "window_start", "cohort_basis")
+
+
+@query(_DISPOSED + " SELECT receipt_id, disposition, error_code FROM disposed")
+def clean_dispositions(spark, sf_dir):
+    return _outcome(spark, sf_dir).disposed.select("receipt_id", "disposition", "error_code")
+
+
+@query(_DISPOSED + " SELECT receipt_id, event_id, error_code FROM disposed WHERE disposition = 'duplicate'")
+def dedup_event_then_business(spark, sf_dir):
+    return _outcome(spark, sf_dir).disposed.where("disposition = 'duplicate'").select("receipt_id", "event_id", "error_code")
+
+
+@query(_DISPOSED + " SELECT receipt_id, error_code, event_time + 250 AS received_at FROM disposed WHERE disposition = 'quarantined'")
+def quarantine_rows(spark, sf_dir):
+    return validate.quarantine(_outcome(spark, sf_dir).disposed).select("receipt_id", "error_code", "received_at")
+
+
+@query(_DISPOSED + " SELECT event_id, event_time, received_at - event_time AS transport_delay_ms FROM disposed WHERE disposition = 'cleaned'")
+def transport_delay(spark, sf_dir):
+    return _outcome(spark, sf_dir).clean.select("event_id", "event_time", "transport_delay_ms")
+
+
+@query(_DISPOSED.replace("CASE WHEN NOT valid THEN 'SCHEMA_INVALID'", "CASE WHEN NOT valid THEN 'SCHEMA_INVALID' WHEN region = 'JP' OR event_time < 1704240000000 THEN 'RULE_FILTERED'").replace("event_type <> 'error' AS valid FROM arrived", "event_type <> 'error' AS valid FROM arrived").replace("CASE WHEN valid THEN row_number() OVER (PARTITION BY valid,", "CASE WHEN valid AND NOT coalesce(region = 'JP' OR event_time < 1704240000000, false) THEN row_number() OVER (PARTITION BY valid AND NOT coalesce(region = 'JP' OR event_time < 1704240000000, false),") + " SELECT error_code, count(*) AS n FROM disposed GROUP BY 1")
+def rule_filtered_counts(spark, sf_dir):
+    rules = Rules(filter_regions=("JP",), effective_from=1704240000000)
+    return validate.disposition(adapter.packets(spark, sf_dir), rules).groupBy("error_code").agg(F.count("*").alias("n"))
+
+
+@query(_DISPOSED.replace("CASE WHEN NOT valid THEN 'SCHEMA_INVALID'", "CASE WHEN NOT valid THEN 'SCHEMA_INVALID' WHEN true THEN 'SCHEMA_VERSION_DISABLED'") + " SELECT error_code, count(*) AS n FROM disposed GROUP BY 1")
+def schema_version_disabled(spark, sf_dir):
+    return validate.disposition(adapter.packets(spark, sf_dir), Rules(schema_versions=(2,))).groupBy("error_code").agg(F.count("*").alias("n"))
+
+
+@query(_DISPOSED + " SELECT receipt_id, disposition FROM disposed")
+def field_mapping_rename(spark, sf_dir):
+    """Old producers call the campaign `cid`: with the mapping, nothing changes."""
+    old = adapter.packets(spark, sf_dir).withColumn("event", F.regexp_replace("event", '"campaign_id"', '"cid"'))
+    return validate.disposition(old, Rules(field_mappings={"cid": "campaign_id"})).select("receipt_id", "disposition")
+
+
+@query(_LINKED + " SELECT click_id, reason, CASE WHEN reason = 'OK' THEN i_variant END AS variant FROM clicks")
+def click_impression_link(spark, sf_dir):
+    return _outcome(spark, sf_dir).clicks.select("click_id", "reason", F.col("impression.variant").alias("variant"))
+
+
+@query(_CONTRIBUTED + " SELECT association_key, conversion_id, click_id, status, reason, event_time, receipt_id, experiment_id, variant FROM associations")
+def conversion_click_link(spark, sf_dir):
+    return _outcome(spark, sf_dir).associations.select("association_key", "conversion_id", "click_id", "status", "reason", "event_time", "receipt_id", "experiment_id", "variant")
+
+
+@query(_LINKED + " SELECT 'click' AS link, reason, count(*) AS n FROM clicks GROUP BY 2 UNION ALL SELECT 'conversion', reason, count(*) FROM conversions GROUP BY 2")
+def reason_counts(spark, sf_dir):
+    o = _outcome(spark, sf_dir)
+    return o.clicks.select(F.lit("click").alias("link"), "reason").unionByName(o.conversions.select(F.lit("conversion").alias("link"), "reason")).groupBy("link", "reason").agg(F.count("*").alias("n"))
+
+
+@query(_LINKED + " SELECT event_id, reason AS error_code FROM clicks WHERE reason <> 'OK'")
+def exposure_signals(spark, sf_dir):
+    return _outcome(spark, sf_dir).quality.where("disposition = 'signal'").select("event_id", "error_code")
+
+
+def _cohort(cohort: str):
+    def run(spark, sf_dir):
+        return _outcome(spark, sf_dir).metrics.where(F.col("cohort_basis") == cohort).select(*_KEYS, *COUNTERS)
+
+    run.__name__ = f"metrics_{cohort}"
+    return query(_CONTRIBUTED + f" SELECT {', '.join((*_KEYS, *COUNTERS))} FROM metrics WHERE cohort_basis = '{cohort}'")(run)
+
+
+metrics_occurrence, metrics_impression, metrics_click, metrics_conversion_value = map(_cohort, ("occurrence", "impression", "click", "conversion_value"))
+
+
+@query(_CONTRIBUTED + f" SELECT metric_key, {', '.join((*_KEYS, *COUNTERS))} FROM metrics")
+def metrics_full(spark, sf_dir):
+    return _outcome(spark, sf_dir).metrics.select("metric_key", *_KEYS, *COUNTERS)
+
+
+@query(_LINKED + " SELECT count(DISTINCT (advertiser_id, app_id, click_id)) AS converted_clicks, count(*) AS matched FROM conversions WHERE matched")
+def converted_clicks_distinct(spark, sf_dir):
+    return _outcome(spark, sf_dir).conversions.where("status = 'matched'").agg(F.sum("first_of_click").alias("converted_clicks"), F.count("*").alias("matched"))
+
+
+@query(_CONTRIBUTED + " SELECT campaign_id, channel, count(*) AS n FROM channels GROUP BY 1, 2")
+def temporal_dimension_channel(spark, sf_dir):
+    o = _outcome(spark, sf_dir)
+    rows = metrics.with_channel(metrics.contributions(o.clean, o.clicks, o.conversions), adapter.campaigns(spark))
+    return rows.groupBy("campaign_id", "channel").agg(F.count("*").alias("n"))
+
+
+def _versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Associations as stored: first pending, then final, the final one twice (as after a retry)."""
+    o = _outcome(spark, sf_dir)
+    ordinal = F.split("receipt_id", ":")[1].cast("bigint")
+    final = results.as_records(o.associations, "association", F.pmod(F.xxhash64("association_key"), F.lit(3)), ordinal * 3 + 1, F.col("event_time"))
+    pending = results.as_records(o.associations.withColumns({"status": F.lit("pending"), "reason": F.lit("AWAITING_CLICK")}), "association", F.pmod(F.xxhash64("association_key"), F.lit(3)), ordinal * 3, F.col("event_time"))
+    return pending.unionByName(final).unionByName(final.withColumn("output_offset", F.col("output_offset") + 1))
+
+
+@query(_CONTRIBUTED + " SELECT 'a:' || association_key AS output_key, status, reason, CAST(split_part(receipt_id, ':', 2) AS BIGINT) * 3 + 2 AS output_offset FROM associations")
+def latest_by_offset(spark, sf_dir):
+    rows = results.latest(_versions(spark, sf_dir), "replay-v1", "association")
+    return rows.select("output_key", F.get_json_object("payload", "$.status").alias("status"), F.get_json_object("payload", "$.reason").alias("reason"), "output_offset")
+
+
+@query(_CONTRIBUTED + " SELECT 'a:' || association_key AS output_key, 'pending' AS status FROM associations WHERE false UNION ALL SELECT 'a:' || association_key, status FROM associations WHERE status = 'matched'")
+def latest_then_filter(spark, sf_dir):
+    """A filter on a mutable field after the reduction: superseded pending rows never come back."""
+    rows = results.latest(_versions(spark, sf_dir), "replay-v1", "association")
+    status = F.get_json_object("payload", "$.status")
+    return rows.where(status.isin("pending", "matched")).select("output_key", status.alias("status"))
+
+
+@query(_CONTRIBUTED + " SELECT count(*) FILTER (false) AS pending FROM associations")
+def pending_count(spark, sf_dir):
+    return monitor.pending_count(results.latest_associations(_versions(spark, sf_dir), "replay-v1"))
+
+
+@query(_CONTRIBUTED + " SELECT 'a:' || association_key AS output_key, status FROM associations ORDER BY 1 LIMIT 101")
+def keyset_page_first(spark, sf_dir):
+    return paging.page_frame(_versions(spark, sf_dir), "replay-v1", "association").select("output_key", F.get_json_object("payload", "$.status").alias("status"))
+
+
+@query(_CONTRIBUTED + """ SELECT 'a:' || association_key AS output_key, status FROM associations WHERE status = 'unmatched' AND 'a:' || association_key > 'a:["adv-1","app-1"' ORDER BY 1 LIMIT 51""")
+def keyset_page_next(spark, sf_dir):
+    page = paging.page_frame(_versions(spark, sf_dir), "replay-v1", "association", 50, 'a:["adv-1","app-1"', {"status": "unmatched"})
+    return page.select("output_key", F.get_json_object("payload", "$.status").alias("status"))
+
+
+@query(
+    _CONTRIBUTED
+    + """ SELECT metric_key, CASE WHEN cohort_basis = 'impression' AND impressions > 0 THEN clicks / impressions END AS ctr, CASE WHEN cohort_basis = 'click' AND clicks > 0 THEN converted_clicks / clicks END AS cvr,
+  CASE WHEN experiment_id = 'unknown' THEN 'missing_exposure' WHEN greatest(impressions, clicks) < 100 THEN 'small_sample' ELSE 'available' END AS quality_status FROM metrics"""
+)
+def derived_ctr_cvr(spark, sf_dir):
+    return metrics.with_ratios(_outcome(spark, sf_dir).metrics).select("metric_key", "ctr", "cvr", "quality_status")
+
+
+@query(
+    _CONTRIBUTED
+    + """ SELECT variant, sum(clicks) FILTER (cohort_basis = 'impression') / nullif(sum(impressions) FILTER (cohort_basis = 'impression'), 0) AS ctr,
+  sum(converted_clicks) FILTER (cohort_basis = 'click') / nullif(sum(clicks) FILTER (cohort_basis = 'click'), 0) AS cvr FROM metrics GROUP BY 1"""
+)
+def ratio_by_variant(spark, sf_dir):
+    return monitor.ratio_of_sums(_outcome(spark, sf_dir).metrics, ("variant",))
+
+
+def _acknowledged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return adapter.packets(spark, sf_dir).select("receipt_id", "received_at", "ordinal")
+
+
+def _classified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality rows, as if those of every 50th receipt had not come yet."""
+    return _outcome(spark, sf_dir).quality.where(F.split("receipt_id", ":")[1].cast("bigint") % 50 != 0)
+
+
+@query(_DISPOSED + " SELECT receipt_id, received_at FROM disposed WHERE ordinal % 50 = 0")
+def outstanding_receipts_anti(spark, sf_dir):
+    return reconcile.outstanding(_acknowledged(spark, sf_dir), _classified(spark, sf_dir)).select("receipt_id", "received_at")
+
+
+@query(_DISPOSED + " SELECT min(received_at) AS oldest, count(*) AS n FROM disposed WHERE ordinal % 50 = 0")
+def outstanding_summary(spark, sf_dir):
+    return reconcile.outstanding_summary(_acknowledged(spark, sf_dir), _classified(spark, sf_dir))
+
+
+@query(
+    _DISPOSED
+    + """ SELECT count(*) FILTER (ordinal % 7 <> 0) AS acknowledged, count(*) FILTER (ordinal % 11 <> 0) AS archived, count(*) FILTER (ordinal % 50 <> 0) AS classified, count(*) FILTER (ordinal % 7 <> 0 AND ordinal % 11 = 0) AS archive_missing,
+  count(*) FILTER (ordinal % 11 <> 0 AND ordinal % 50 = 0) AS processing_pending, count(*) FILTER (ordinal % 7 = 0 AND (ordinal % 11 <> 0 OR ordinal % 50 <> 0)) AS unacknowledged FROM disposed"""
+)
+def coverage_report(spark, sf_dir):
+    acked = _acknowledged(spark, sf_dir)
+    return reconcile.coverage(acked.where("ordinal % 7 <> 0"), acked.where("ordinal % 11 <> 0"), _classified(spark, sf_dir))
+
+
+@query(_DISPOSED + " SELECT receipt_id FROM disposed WHERE ordinal % 11 = 0 ORDER BY 1 LIMIT 100")
+def missing_archive_samples(spark, sf_dir):
+    acked = _acknowledged(spark, sf_dir)
+    return reconcile.missing_samples(acked, acked.where("ordinal % 11 <> 0"))
+
+
+def _two_sides(spark: SparkSession, sf_dir: str):
+    """The results, and the results with injected differences: lost, wrong and additional zero rows."""
+    o = _outcome(spark, sf_dir)
+    minute = F.col("window_start") / 60000
+    wrong = o.metrics.where(minute % 13 != 0).withColumn("clicks", F.when(minute % 17 == 0, F.col("clicks") + 1).otherwise(F.col("clicks")))
+    zero = o.metrics.where(minute % 13 == 0).withColumns({c: F.lit(0).cast("bigint") for c in COUNTERS}).withColumn("metric_key", F.concat("metric_key", F.lit("z")))
+    other = o.associations.withColumn("reason", F.when(F.col("event_time") % 19 == 0, "CLICK_NOT_FOUND").otherwise(F.col("reason")))
+    return (o.metrics, o.associations), (wrong.unionByName(zero), other)
+
+
+_DIFFERENT = _CONTRIBUTED + """, diff AS (
+  SELECT 'metric' AS kind, metric_key AS key FROM metrics WHERE (window_start // 60000) % 13 = 0 OR (window_start // 60000) % 17 = 0
+  UNION ALL SELECT 'association', association_key FROM associations WHERE event_time % 19 = 0 AND reason <> 'CLICK_NOT_FOUND'
+)"""
+
+
+@query(_DIFFERENT + " SELECT kind, key FROM diff")
+def compare_full_outer(spark, sf_dir):
+    return reconcile.differences(*_two_sides(spark, sf_dir)).select("kind", "key")
+
+
+@query(_DIFFERENT + " SELECT kind, key FROM diff ORDER BY kind, key LIMIT 100")
+def difference_samples(spark, sf_dir):
+    return reconcile.differences(*_two_sides(spark, sf_dir)).orderBy("kind", "key").limit(100).select("kind", "key")
+
+
+@query(_DISPOSED + " SELECT receipt_id FROM disposed WHERE ordinal % 23 = 0 OR ordinal % 29 = 0")
+def ack_conflicts(spark, sf_dir):
+    p = adapter.packets(spark, sf_dir)
+    acked = p.select("receipt_id", F.lit("raw").alias("topic"), (F.col("ordinal") % 3).cast("int").alias("partition"), F.col("ordinal").alias("offset"), F.sha2("event", 256).alias("sha256"))
+    moved = F.when(F.col("offset") % 23 == 0, F.col("offset") + 1).otherwise(F.col("offset"))
+    stored = acked.select("receipt_id", "topic", "partition", moved.alias("offset"), F.when(F.col("offset") % 29 != 0, F.col("sha256")).alias("sha256"))
+    return reconcile.acknowledgement_conflicts(acked, stored)
+
+
+@query(_DISPOSED + " SELECT receipt_id, disposition FROM disposed WHERE receipt_id IN (SELECT 'offline:' || eid * 4 FROM arrived WHERE event_type = 'click')")
+def semi_lookup(spark, sf_dir):
+    wanted = adapter.arrived(spark, sf_dir).where("event_type = 'click'").select(F.concat(F.lit("offline:"), (F.col("eid") * 4).cast("string")).alias("receipt_id"))
+    return _outcome(spark, sf_dir).disposed.join(wanted, "receipt_id", "left_semi").select("receipt_id", "disposition")
+
+
+@query(_CONTRIBUTED + f" SELECT metric_key, 'replay-v2' AS release_id, {', '.join(f'CAST(0 AS BIGINT) AS {c}' for c in COUNTERS)} FROM metrics WHERE campaign_id = 'campaign-1'")
+def vanished_zero_rows(spark, sf_dir):
+    m = _outcome(spark, sf_dir).metrics
+    return results.vanished(m, m.where("campaign_id <> 'campaign-1'"), "replay-v2", "rules-v1").select("metric_key", "release_id", *COUNTERS)
+
+
+def _visibility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = adapter.packets(spark, sf_dir)
+    return p.select("receipt_id", "received_at", (F.col("received_at") + 1000 + F.col("ordinal") % 37001).alias("visible_at")).unionByName(p.select("receipt_id", "received_at", (F.col("received_at") + 90000).alias("visible_at")))
+
+
+@query(_BASE + ", d AS (SELECT list_sort(list(1000 + ordinal % 37001)) AS l FROM arrived) SELECT len(l) AS n, l[CAST(floor(0.95 * len(l)) AS BIGINT) + 1] AS p95_ms, l[len(l)] AS max_ms FROM d")
+def freshness_p95(spark, sf_dir):
+    return monitor.freshness(_visibility(spark, sf_dir))
+
+
+@query(_CONTRIBUTED + ", u AS (UNPIVOT metrics ON " + ", ".join(COUNTERS) + " INTO NAME counter VALUE value) SELECT counter, cohort_basis, variant, currency, campaign_id, region, app_version, CAST(sum(value) AS BIGINT) AS value FROM u GROUP BY ALL")
+def business_rollup_unpivot(spark, sf_dir):
+    return monitor.business_rollup(_outcome(spark, sf_dir).metrics)
+
+
+@query(_DISPOSED + " SELECT event_id, count(*) AS n FROM disposed GROUP BY 1 HAVING count(*) > 1")
+def duplicate_having(spark, sf_dir):
+    return adapter.arrived(spark, sf_dir).groupBy("event_id").agg(F.count("*").alias("n")).where("n > 1")
+
+
+def _manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = adapter.packets(spark, sf_dir)
+    return p.groupBy(F.floor(F.col("ordinal") / 1000).alias("b")).agg(F.min("received_at").alias("received_at"), F.array_sort(F.collect_list("receipt_id")).alias("receipt_ids")).select(F.concat(F.lit("batch-"), F.col("b").cast("string")).alias("batch_id"), "received_at", "receipt_ids")
+
+
+@query(_DISPOSED + " SELECT 'batch-' || (ordinal // 1000) AS batch_id, count(*) AS n, min(receipt_id) AS first_receipt FROM disposed GROUP BY 1")
+def receipt_explode_count(spark, sf_dir):
+    return reconcile.explode_manifests(_manifests(spark, sf_dir)).groupBy("batch_id").agg(F.count("*").alias("n"), F.min("receipt_id").alias("first_receipt"))
+
+
+@query(_DISPOSED + " SELECT count(*) AS acknowledged FROM disposed")
+def acknowledged_count(spark, sf_dir):
+    return _manifests(spark, sf_dir).agg(F.sum(F.size("receipt_ids")).alias("acknowledged"))
+
+
+@query(_DISPOSED + " SELECT disposition, error_code, 'rules-v1' AS rule_version, count(*) AS n FROM disposed GROUP BY 1, 2")
+def quality_summary(spark, sf_dir):
+    o = _outcome(spark, sf_dir)
+    return monitor.quality_summary(validate.quality_rows(o.disposed, RULES))
+
+
+@query(_DISPOSED + " SELECT receipt_id, disposition, received_at AS inserted_at FROM disposed WHERE disposition <> 'cleaned' ORDER BY received_at DESC, receipt_id LIMIT 50")
+def top_recent_quality(spark, sf_dir):
+    rows = validate.quality_rows(_outcome(spark, sf_dir).disposed, RULES).withColumn("inserted_at", F.col("received_at"))
+    return monitor.recent_samples(rows).select("receipt_id", "disposition", "inserted_at")
+
+
+@query(
+    """WITH c AS (SELECT event_id, 'campaign-' || user_id % 50 AS campaign_id, (event_id % 5) * 86400000 AS effective_from, 1 + event_id % 2 AS source_version, event_type = 'error' AS deleted, 'channel-' || event_id % 6 AS channel,
+  row_number() OVER (PARTITION BY user_id % 50, event_id % 5, event_id % 2 ORDER BY event_id DESC) AS n FROM events) SELECT campaign_id, effective_from, source_version, channel, deleted FROM c WHERE n = 1"""
+)
+def cdc_latest_versions(spark, sf_dir):
+    e = spark.read.parquet(f"{sf_dir}/events.parquet")
+    row = F.struct(F.concat(F.lit("campaign-"), (F.col("user_id") % 50).cast("string")).alias("campaign_id"), ((F.col("event_id") % 5) * 86400000).alias("effective_from"), (F.col("event_id") % 2 + 1).alias("source_version"), F.to_json(F.struct(F.concat(F.lit("channel-"), (F.col("event_id") % 6).cast("string")).alias("channel"))).alias("attributes"))
+    nothing = F.lit(None).cast(row_type := "struct<campaign_id:string,effective_from:bigint,source_version:bigint,attributes:string>")
+    op = F.when(F.col("event_type") == "error", "d").otherwise("u")
+    change = F.struct(op.alias("op"), F.when(op == "d", row).otherwise(nothing).cast(row_type).alias("before"), F.when(op == "u", row).otherwise(nothing).cast(row_type).alias("after"))
+    value = F.when(F.col("event_id") % 3 == 0, F.to_json(F.struct(change.alias("payload")))).otherwise(F.to_json(change))
+    changes = sources.decode_changes(e.select(F.lit("campaign_versions").alias("topic"), F.lit(0).alias("partition"), F.col("event_id").alias("offset"), value.alias("value")))
+    return changes.select("campaign_id", "effective_from", "source_version", "channel", "deleted")
+
+
+@query(_BASE + " SELECT count(*) AS rows_in, count(DISTINCT ordinal) AS ordinals, max(ordinal_n) AS last FROM (SELECT ordinal, row_number() OVER (ORDER BY event_time, ordinal) - 1 AS ordinal_n FROM arrived)")
+def input_ordinal(spark, sf_dir):
+    p = adapter.packets(spark, sf_dir).withColumn("index", F.col("ordinal"))
+    return sources.with_ordinal(p).agg(F.count("*").alias("rows_in"), F.count_distinct("ordinal").alias("ordinals"), F.max("ordinal").alias("last"))
+
+
+@query(_CONTRIBUTED + " SELECT DISTINCT channel, cohort_basis FROM metrics")
+def distinct_labels(spark, sf_dir):
+    return _outcome(spark, sf_dir).metrics.select("channel", "cohort_basis").distinct()
+
+
+@query()
+def dataset_fingerprint(spark, sf_dir):
+    return reconcile.fingerprint(_outcome(spark, sf_dir).metrics)
