@@ -35,7 +35,7 @@ BLOCK_ELEMENTS = 1_000_000
 #: Columns that a product multiplies at a time.
 COLUMNS = 2048
 #: Words that a task remembers hashes of.
-WORDS = 1_000_000
+WORDS = 100_000
 
 
 def _mix(x: np.ndarray) -> np.ndarray:

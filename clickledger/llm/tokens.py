@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 #: The byte-level pre-tokenizer's public pattern.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Strings that a task remembers merged counts of, before it starts anew.
-CACHE = 500_000
+CACHE = 200_000
 
 
 def public_path(name: str) -> str:
