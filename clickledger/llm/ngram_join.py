@@ -5,8 +5,9 @@ transpose holds the overlaps. Only blocks that can hold a link are multiplied:
 
 1. Sets are cut by hash range into as many parts as two linked sets of their size class can differ
    in elements, plus a few: then at least one part that is not empty is equal in both (the
-   pigeonhole of Arasu et al., 2006). Equal parts tie sets into candidate groups; unrelated sets that share
-   a long passage do not share a whole part.
+   pigeonhole of Arasu et al., 2006). Sets with an equal part meet in a bucket. As more than one part is sure to be equal,
+   the parts that follow it must agree in number as well; this parts sets that only have a passage in common. What is left
+   ties sets into candidate groups.
 2. A candidate group is dealt into blocks of bounded rows and elements; every pair of blocks is one small
    sparse product, made column range by column range. Overlaps add up, and rows and pairs are
    discarded once the rest of the columns cannot lift them to the bound that their sizes set.
@@ -32,6 +33,9 @@ _U64 = np.uint64
 #: Bounds of one block of a candidate group: sets, and elements of all of them.
 BLOCK_SETS = 1024
 BLOCK_ELEMENTS = 1_000_000
+#: Parts of a set that a signature is held against, and sets of a bucket that a task keeps.
+WINDOW = 48
+BUCKET_ROWS = 200_000
 #: Columns that a product multiplies at a time.
 COLUMNS = 2048
 #: Words that a task remembers hashes of.
@@ -105,7 +109,7 @@ class Classes:
         if d == 0:
             return 0
         k = d + 1
-        while k < d + 1 + 2 * k * np.exp(-self.low(c) / k) + (k > 8):
+        while k < d + 1 + d // 16 + 2 * k * np.exp(-self.low(c) / k) + (k > 8):
             k += 1
             if k > 4 * d + 8:
                 break
@@ -122,24 +126,137 @@ class Classes:
         return tuple(out)
 
 
+class Role:
+    """A set cut into parts for one class: part numbers and signatures of the parts that are not empty, signatures of the empty ones if they are needed, and how many parts of a window a partner must share."""
+
+    __slots__ = ("empty", "k", "need", "part", "sig", "width")
+
+    def __init__(self, h: np.ndarray, total: np.ndarray, c: int, k: int, sure: int):
+        part = ((h >> _U64(32)) * _U64(k)) >> _U64(32)
+        first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+        last = np.append(first[1:], len(h))
+        self.k, self.part = k, part[first]
+        self.sig = _mix((total[last] - total[first]) ^ _mix(self.part + _U64(c * 0x100000001 + 1)))
+        full = sure - (k - len(first))  # parts with elements that are sure to be equal
+        self.empty = np.zeros(0, _U64)
+        if full < 1:
+            none = np.setdiff1d(np.arange(k, dtype=_U64), self.part)
+            self.empty = _mix(_mix(none + _U64(c * 0x100000001 + 1)))
+        # Of the equal parts that hold elements, one starts a cyclic window with at least their average share of it.
+        self.width = min(k, WINDOW)
+        self.need = max(1, -(-full * self.width // k))
+
+    def windows(self) -> np.ndarray:
+        """For each signature a byte per part that follows in the window: a hash of its content, 0 if it is empty; padded to WINDOW - 1."""
+        marks = np.zeros(self.k, np.uint8)
+        marks[self.part.astype(np.int64)] = self.sig % _U64(255) + _U64(1)
+        out = np.zeros((len(self.sig), WINDOW - 1), np.uint8)
+        out[:, : self.width - 1] = marks[(self.part.astype(np.int64)[:, None] + np.arange(1, self.width)) % self.k]
+        return out
+
+
+def roles(h: np.ndarray, classes: Classes) -> list[Role]:
+    if not len(h):
+        return []
+    with np.errstate(over="ignore"):
+        total = np.concatenate([np.zeros(1, _U64), np.cumsum(_mix(h))])
+        return [Role(h, total, *r) for r in classes.roles(len(h))]
+
+
 def signatures(h: np.ndarray, classes: Classes) -> np.ndarray:
     """Signatures of the parts of a sorted set, int64."""
-    out = []
-    if len(h):
-        with np.errstate(over="ignore"):
-            total = np.concatenate([np.zeros(1, _U64), np.cumsum(_mix(h))])
-            for c, k, sure in classes.roles(len(h)):
-                part = ((h >> _U64(32)) * _U64(k)) >> _U64(32)
-                first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
-                last = np.append(first[1:], len(h))
-                salt = _mix(part[first] + _U64(c * 0x100000001 + 1))
-                out.append(_mix((total[last] - total[first]) ^ salt))
-                if k - len(first) >= sure:  # all parts that are sure to be equal may be empty ones
-                    empty = np.setdiff1d(np.arange(k, dtype=_U64), part[first])
-                    out.append(_mix(_mix(empty + _U64(c * 0x100000001 + 1))))
+    out = [x for r in roles(h, classes) for x in (r.sig, r.empty)]
     return np.concatenate(out).view(np.int64) if out else np.zeros(0, np.int64)
 
 
+def bucket_ties(nodes: list[int], need: np.ndarray, windows: np.ndarray) -> list[tuple[int, int]]:
+    """Ties (node, first node of its tree) within a bucket of equal parts: of two sets that may link, the windows share at least as many parts as both need.
+
+    A walk: each set is held against those that no tree has reached yet, so a bucket of near copies costs one comparison per set.
+    """
+    out, left = [], np.arange(len(nodes))
+    while len(left) > 1:
+        root, left = left[0], left[1:]
+        todo = [root]
+        while todo and len(left):
+            x = todo.pop()
+            mine = windows[x]
+            held = mine != 0
+            shared = (windows[left][:, held] == mine[held]).sum(1) + 1
+            near = shared >= np.maximum(need[left], need[x])
+            todo += left[near].tolist()
+            out += [(nodes[i], nodes[root]) for i in left[near]]
+            left = left[~near]
+    return out
+
+
+def _ties():
+    """Rows (sig, node, need, window) sorted by sig -> (a, b)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sig, nodes, need, wins, found = None, [], [], [], []
+
+        def close() -> None:
+            if len(nodes) > 1:
+                found.extend(bucket_ties(nodes, np.array(need), np.frombuffer(b"".join(wins), np.uint8).reshape(len(nodes), -1)))
+
+        for b in batches:
+            for s, node, n, w in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
+                if s != sig:
+                    close()
+                    sig, nodes, need, wins = s, [], [], []
+                elif len(nodes) >= BUCKET_ROWS:  # a bucket beyond memory: all further sets are tied to its first, which loses nothing
+                    found.append((node, nodes[0]))
+                    continue
+                nodes.append(node)
+                need.append(n)
+                wins.append(w)
+            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], names=["a", "b"])
+            found.clear()
+        close()
+        yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], names=["a", "b"])
+
+    return run
+
+
+def candidate_ties(df: DataFrame, sets: DataFrame, key: str, text: str, n: int, percent: int) -> DataFrame:
+    """(a, b) between representatives that may link. sets: a stored shingle_sets()."""
+    reps = sets.where("n_shingles > 0 and node is not null").groupBy("h1", "h2", "n_shingles").agg(F.min("node").alias("node"))
+    signed = sets.where("size(sigs) > 0").join(reps.select("node"), "node", "left_semi").select("node", F.explode("sigs").alias("sig"))
+    shared = signed.withColumn("_n", F.count("*").over(Window.partitionBy("sig"))).where("_n > 1")
+    per_set = stored(shared.groupBy("node").agg(F.collect_set("sig").alias("sigs")), "shared-signatures")
+    texts = df.select(df[key].cast("bigint").alias("node"), df[text].alias("_text")).join(per_set, "node").select("node", "sigs", "_text")
+
+    def windowed(batches):
+        shingle, classes = Shingler(n), Classes(percent)
+        for b in batches:
+            sig, node, need, win = [], [], [], []
+            nodes, sigs = b.column(0).to_pylist(), b.column(1)
+            for i, x in enumerate(nodes):
+                wanted = np.array(sigs[i].values.to_numpy(), np.int64)
+                for r in roles(shingle(b.column(2)[i].as_py()), classes):
+                    own = r.sig.view(np.int64)
+                    at = np.flatnonzero(np.isin(own, wanted))
+                    if len(at):
+                        w = r.windows()[at]
+                        sig += own[at].tolist()
+                        node += [x] * len(at)
+                        need += [r.need] * len(at)
+                        win += [y.tobytes() for y in w]
+                    if len(r.empty):
+                        hit = r.empty.view(np.int64)
+                        hit = hit[np.isin(hit, wanted)]
+                        sig += hit.tolist()
+                        node += [x] * len(hit)
+                        need += [0] * len(hit)
+                        win += [bytes(WINDOW - 1)] * len(hit)
+            yield pa.RecordBatch.from_arrays([pa.array(sig, pa.int64()), pa.array(node, pa.int64()), pa.array(need, pa.int32()), pa.array(win, pa.binary())], names=["sig", "node", "need", "window"])
+
+    rows = texts.mapInArrow(windowed, "sig bigint, node bigint, need int, window binary")
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(parts, "sig").sortWithinPartitions("sig").mapInArrow(_ties(), "a bigint, b bigint")
+
+
 def shingle_sets(df: DataFrame, key: str, text: str, n: int, percent: int) -> DataFrame:
     """(node, n_shingles, h1, h2, sigs): a text's set size, a 128-bit hash of the set and its signatures."""
 
@@ -281,10 +398,7 @@ def _block_products(percent: int):
 def jaccard_links(df: DataFrame, sets: DataFrame, key: str, text: str, n: int, percent: int) -> DataFrame:
     """(a, b): links between representatives of different sets, a spanning forest per block pair. sets: a stored shingle_sets()."""
     spark = df.sparkSession
-    reps = sets.where("n_shingles > 0 and node is not null").groupBy("h1", "h2", "n_shingles").agg(F.min("node").alias("node"))
-    signed = sets.where("size(sigs) > 0").join(reps.select("node"), "node", "left_semi").select("node", F.explode("sigs").alias("sig"))
-    first = signed.withColumn("b", F.min("node").over(Window.partitionBy("sig")))
-    tied = components(first.where("node <> b").select(F.col("node").alias("a"), "b"))
+    tied = components(candidate_ties(df, sets, key, text, n, percent))
     roots = tied.select(F.col("root").alias("node"), "root").distinct()
     members = tied.union(roots).join(sets.groupBy("node").agg(F.max("n_shingles").alias("n")), "node")
     dims = members.groupBy("root").agg(F.greatest(F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_ELEMENTS)).cast("int").alias("blocks"))
