@@ -84,7 +84,7 @@ class Classes:
         if not 0 < percent <= 100:
             raise ValueError("a percentage")
         self.p = percent
-        self.ratio = max(100 / percent, 1.25) + 1e-9
+        self.ratio = max(100 / percent, 1.75) + 1e-9  # wider classes need more parts, narrower ones have more sets in two of them
 
     @lru_cache(maxsize=None)  # noqa: B019
     def low(self, c: int) -> int:
