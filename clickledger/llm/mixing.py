@@ -34,7 +34,7 @@ def source_rates(df: DataFrame, source: str, size: F.Column, weights: dict[str,
     No weights: all sources get the same. No budget: the size of the corpus. A source that
     weighs nothing, is not named in the weights or has no bytes gets rate 0. Null is a source.
     """
-    per = df.groupBy(df[source].alias("_source")).agg(F.sum(size).cast("double").alias("_size"))
+    per = df.select(df[source].alias("_source"), size.alias("_size")).groupBy("_source").agg(F.sum("_size").cast("double").alias("_size"))
     if weights is None:
         weight = F.when(F.col("_size") > 0, F.lit(1.0)).otherwise(0.0)
     else:
@@ -65,27 +65,28 @@ def mix(df: DataFrame, id_col: str = "doc_id", text: str = "text", source: str =
     rows. Input columns named copy or shuffle_key are replaced.
     """
     spark = df.sparkSession
+    names = [c for c in df.columns if c.lower() not in ("copy", "shuffle_key")]
     size = F.coalesce(F.octet_length(df[text]).cast("long"), F.lit(0))
+    # The input's columns travel as one struct, so no name of theirs meets one of ours.
+    rows = df.select(F.struct(*[df[c] for c in names]).alias("_row"), F.coalesce(df[id_col].cast("string"), F.lit("null")).alias("_ident"), df[source].alias("_of"))
     rates = source_rates(df, source, size, weights, budget)
     steps = F.floor(F.col("_rate") / STEP).cast("int")
     rates = rates.select("_source", "_rate", steps.alias("_steps"), poisson_cdf(F.col("_rate") - steps * STEP).alias("_rest"), F.when(steps > 0, poisson_cdf(F.lit(STEP))).alias("_whole"))
     few = len(rates.select("_source").limit(MAX_BROADCAST_SOURCES + 1).collect()) <= MAX_BROADCAST_SOURCES
-    plain = df.drop("copy", "shuffle_key")
-    rated = plain.join(F.broadcast(rates) if few else rates, plain[source].eqNullSafe(rates["_source"])).drop("_source")
-    ident = F.coalesce(plain[id_col].cast("string"), F.lit("null"))
-    u = lambda j: _hash52(F.lit(seed), ident, j.cast("string")) / F.lit(float(2 ** (4 * _BITS)))
+    rated = rows.join(F.broadcast(rates) if few else rates, F.col("_of").eqNullSafe(F.col("_source")))
+    u = lambda j: _hash52(F.lit(seed), F.col("_ident"), j.cast("string")) / F.lit(float(2 ** (4 * _BITS)))
     invert = lambda cdf, j: F.size(F.filter(cdf, lambda c: c <= u(j))).cast("long")
     rest = invert(F.col("_rest"), F.lit(0))
     whole = F.aggregate(F.sequence(F.lit(1), F.col("_steps")), F.lit(0).cast("long"), lambda n, j: n + invert(F.col("_whole"), j))
-    draws = rated.where(F.col("_rate") > 0).select(*plain.columns, (rest + F.when(F.col("_steps") > 0, whole).otherwise(F.lit(0))).alias("_count"))
+    draws = rated.where(F.col("_rate") > 0).select("_row", "_ident", (rest + F.when(F.col("_steps") > 0, whole).otherwise(F.lit(0))).alias("_count"))
     # Two steps, with a shuffle between them, so that a row with very many copies is not expanded by one task.
     chunks = draws.where("_count > 0").withColumn("_from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_count") - 1, F.lit(_CHUNK).cast("long"))))
-    key = lambda *p: F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(seed), F.lit("order"), ident, *p)), 1, 15), 16, 10).cast("long")
-    dealt = chunks.repartition(F.xxhash64(ident, F.col("_from")))
+    dealt = chunks.repartition(F.xxhash64("_ident", "_from"))
     copies = dealt.withColumn("copy", F.explode(F.sequence(F.col("_from"), F.least(F.col("_from") + _CHUNK, F.col("_count")) - 1)))
-    copies = copies.withColumn("shuffle_key", key(F.col("copy").cast("string")))
+    place = F.md5(F.concat_ws(":", F.lit(seed), F.lit("order"), F.col("_ident"), F.col("copy").cast("string")))
+    copies = copies.select("_row", "copy", F.conv(F.substring(place, 1, 15), 16, 10).cast("long").alias("shuffle_key"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return copies.select(*plain.columns, "copy", "shuffle_key").repartition(parts, "shuffle_key").sortWithinPartitions("shuffle_key")
+    return copies.repartition(parts, "shuffle_key").sortWithinPartitions("shuffle_key").select("_row.*", "copy", "shuffle_key")
 
 
 def invert_poisson(rate: float, us: list[float]) -> int:

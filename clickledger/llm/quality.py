@@ -92,14 +92,16 @@ def judge(df: DataFrame, key: str = "doc_id", text: str = "text", rules: tuple[R
     own text, so repeated rows get equal verdicts; an empty table gives no rows. Input columns with
     the names of results are replaced.
     """
-    results = ("_words", "_lines", "word_chars", "n_words", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "failed_rule", "kept")
-    plain = df.drop(*results)
+    results = ("word_chars", "n_words", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "failed_rule", "kept")
+    names = [c for c in df.columns if c.lower() not in results]
     cascade = None
-    for r in order_rules(plain, key, text, rules):
+    for r in order_rules(df.select(df[key].alias("_key"), df[text].alias("_text")), "_key", "_text", rules):
         cascade = F.when(F.expr(r.fails), r.name) if cascade is None else cascade.when(F.expr(r.fails), r.name)
-    counted = base_counts(plain, text).withColumn("base_failed", F.expr(BASE_FAILED))
+    # The input's columns travel as one struct, so no name of theirs meets one of ours.
+    counted = base_counts(df.select(F.struct(*[df[c] for c in names]).alias("_row"), df[text].alias("_text")), "_text").withColumn("base_failed", F.expr(BASE_FAILED))
     verdict = counted.withColumn("failed_rule", F.when(~F.col("base_failed"), cascade) if cascade is not None else F.lit(None).cast("string"))
     # The row number is never negative; it only keeps a caller's filter above this projection. Pushed below, the
     # filter would repeat the whole tree of counts once per use, and planning would not end.
     here = F.monotonically_increasing_id() >= 0
-    return verdict.withColumn("kept", ~F.col("base_failed") & F.col("failed_rule").isNull() & here).drop("_words", "_lines")
+    final = verdict.withColumn("kept", ~F.col("base_failed") & F.col("failed_rule").isNull() & here)
+    return final.select("_row.*", *results)
