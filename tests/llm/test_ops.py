@@ -1,0 +1,436 @@
+"""The training-data operators against brute force, and on the cases every one of them must take."""
+
+from __future__ import annotations
+
+import hashlib
+import html
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from clickledger.llm import embedding_join, html_text, line_dedup, mixing, ngram_join, packing, pii, quality, sharding, tokens
+from clickledger.llm.components import components
+
+DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+JSON, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
+
+
+def corpus(n: int = 120, seed: int = 3) -> list[tuple]:
+    """Documents with copies, near copies, shared lines and passages, odd texts and nulls."""
+    r = random.Random(seed)
+    words = ["".join(r.choice("abcdeé") for _ in range(r.randint(1, 7))) for _ in range(900)]
+    line = lambda k: " ".join(r.choice(words) for _ in range(k))
+    shared = [line(12) for _ in range(6)]
+    passage = line(60)
+    out: list[str | None] = []
+    for _ in range(n):
+        t = "\n".join([line(r.randint(3, 30)) for _ in range(r.randint(1, 6))] + r.sample(shared, r.randint(0, 2)))
+        out.append(t)
+        if r.random() < 0.2:
+            out.append(t)
+        if r.random() < 0.3:
+            w = t.split(" ")
+            w[r.randrange(len(w))] = "changed"
+            out.append(" ".join(w))
+        if r.random() < 0.2:
+            out.append(passage + " " + line(40))
+    out += ["", None, " \n\t\n", "one", "One", "two words", "TWO words", "<|endoftext|> a<|endoftext|>", "a" * 5000, "é՘\U0001f600 ß", "x\n" * 300, "ho " * 400, line(9000), "a@b.co 1.2.3.4 +1 (555) 555-1234", "\x0b\x0c\r x"]
+    return [(i, t, "en", f"src{i % 3}" if i % 7 else None, len(t or "")) for i, t in enumerate(out)]
+
+
+@pytest.fixture(scope="module")
+def rows():
+    return corpus()
+
+
+@pytest.fixture(scope="module")
+def docs(spark, rows):
+    return spark.createDataFrame(rows, DOCS).repartition(3).cache()
+
+
+def trees(n: int, links) -> list[int]:
+    up = list(range(n))
+
+    def find(a):
+        while up[a] != a:
+            up[a] = a = up[up[a]]
+        return a
+
+    for a, b in links:
+        a, b = find(a), find(b)
+        up[max(a, b)] = min(a, b)
+    return [find(a) for a in range(n)]
+
+
+def library_ids(rows):
+    t = tokens.library(tokens.public_path(JSON))
+    return {k: np.array([*t.encode(x or "", add_special_tokens=False).ids, 0], "<u4") for k, x, *_ in rows}
+
+
+@pytest.mark.parametrize("limits", [packing.Limits(), packing.Limits(64, 3, 40), packing.Limits(128, 8, 128)])
+@pytest.mark.parametrize("ranks", [RANKS, None])
+def test_packing(spark, docs, rows, limits, ranks):
+    ids = library_ids(rows)
+    out = packing.pack(docs, tokens.public_path(JSON), ranks and tokens.public_path(ranks), limits=limits).toPandas()
+    assert set(out.doc_id) == set(ids)
+    for k, g in out.sort_values("start").groupby("doc_id"):
+        assert list(g.start) == [0, *np.cumsum(g.length)[:-1]] and g.length.sum() == len(ids[k]) == g.doc_tokens.iloc[0]
+        assert all(zlib.crc32(ids[k][p.start : p.start + p.length].tobytes()) == p.ids_crc32 for p in g.itertuples())
+    padding = 0
+    for _, g in out.sort_values("offset").groupby("sequence_id"):
+        assert list(g.offset) == [0, *np.cumsum(g.length)[:-1]]
+        n = g.length.sum()
+        assert n <= limits.tokens and len(g) <= limits.segments and g.n_loss.sum() <= limits.loss
+        padding += 0 if n & (n - 1) == 0 else limits.tokens - n
+    if limits == packing.Limits():
+        assert padding == 0
+
+
+def test_packing_instruction_loss(spark):
+    df = spark.createDataFrame([(1, "question answer here", 9), (2, "only a question", None), (3, None, None)], "doc_id long, text string, answer_at int")
+    out = {r["doc_id"]: r for r in packing.pack(df, tokens.public_path(JSON), loss_from="answer_at").collect()}
+    t = tokens.library(tokens.public_path(JSON))
+    assert out[1]["n_loss"] == len(t.encode("question answer here").ids) + 1 - len(t.encode("question ").ids)
+    assert out[3]["length"] == 1
+
+
+def test_line_dedup(docs, rows):
+    key = lambda x: re.sub(r"[A-Z]", lambda m: m.group().lower(), x.strip(" \t\n\x0b\f\r"))
+    holders: dict[str, set] = {}
+    for k, t, *_ in rows:
+        for x in (t or "").split("\n"):
+            if len(key(x)) >= 10:
+                holders.setdefault(key(x), set()).add(k)
+    for shard_keys in (500_000, 2):
+        got = {r["doc_id"]: r for r in line_dedup.dedup_lines(docs, shard_keys=shard_keys).collect()}
+        for k, t, *_ in rows:
+            lines = (t or "").split("\n")
+            kept = [x for x in lines if len(holders.get(key(x), ())) < 2 or min(holders[key(x)]) == k]
+            assert (got[k]["n_lines"], got[k]["n_dropped"], got[k]["text"]) == (len(lines), len(lines) - len(kept), "\n".join(kept))
+
+
+def test_perfect_hash():
+    r = np.random.default_rng(1)
+    for n in (0, 1, 2, 1000, 50_000):
+        h1, h2 = r.integers(0, 2**64, n, np.uint64), r.integers(0, 2**64, n, np.uint64)
+        if n > 10:
+            h1[1] = h1[0]  # two keys that share a half
+        s = line_dedup.Shard.load(line_dedup.Shard.build(h1, h2, np.full(n, 2), np.arange(n)).dump())
+        assert sorted(s.f.slots(h1, h2)) == list(range(n))
+        found, keep = s.keepers(h1, h2)
+        assert found.all() and (keep == np.arange(n)).all()
+        assert not s.keepers(r.integers(0, 2**64, 1000, np.uint64), r.integers(0, 2**64, 1000, np.uint64))[0].any()
+
+
+def test_token_counts(docs, rows):
+    ids = library_ids(rows)
+    got = {r["doc_id"]: r for r in tokens.count_tokens(docs, tokens.public_path(JSON)).collect()}
+    for k, t, *_ in rows:
+        n = len(ids[k]) - 1
+        assert (got[k]["n_tokens"], got[k]["n_bytes"], got[k]["over_limit"]) == (n, len((t or "").encode()), n > 1024)
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "piece_bpe_32k.model"])
+def test_token_counts_of_other_files(spark, name):
+    path = tokens.public_path(name)
+    texts = ["Hello, world", "", "é ß 123", "<|endoftext|> x"]
+    got = [r["n_tokens"] for r in tokens.count_tokens(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), path).orderBy("doc_id").collect()]
+    assert got == tokens.TokenCounter(path).counts(texts)
+
+
+def test_fast_encoder_equals_the_library_over_all_code_points():
+    lib, fast = packing.Encoder(tokens.public_path(JSON), None), packing.Encoder(tokens.public_path(JSON), tokens.public_path(RANKS))
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c <= 0xDFFF]
+    for i in range(0, len(points), 7919):
+        text = "".join(f"a{c}1{c} {c}!" for c in points[i : i + 60])
+        assert list(lib(text)) == list(fast(text))
+
+
+def test_mixing(spark, docs, rows):
+    out = mixing.mix(docs, weights={"src0": 3.0, "src1": 1.0}, budget=200_000.0)
+    size: dict = {}
+    for _, t, _, s, _ in rows:
+        size[s] = size.get(s, 0) + len((t or "").encode())
+    copies: dict = {}
+    for r in out.collect():
+        copies.setdefault(r["doc_id"], []).append(r["copy"])
+    for k, _, _, s, _ in rows:
+        rate = {"src0": 0.75, "src1": 0.25}.get(s, 0) * 200_000 / size[s]
+        u = lambda j, k=k: int(hashlib.md5(f"mix-1:{k}:{j}".encode()).hexdigest()[:13], 16) / 2**52
+        n = mixing.invert_poisson(rate, [u(j) for j in range(int(rate // 32) + 1)]) if rate else 0
+        assert sorted(copies.get(k, [])) == list(range(n))
+    assert out.columns == [*docs.columns, "copy", "shuffle_key"]
+
+
+def test_mixing_of_a_tiny_source_makes_many_copies(spark):
+    df = spark.createDataFrame([(1, "x", "small"), (2, "y" * 20000, "big")], "doc_id long, text string, source string")
+    n = {r["doc_id"]: r["n"] for r in mixing.mix(df).groupBy("doc_id").agg(F.count("*").alias("n")).collect()}
+    assert abs(n[1] - 10_000) < 500  # ten thousand expected, in several chunks
+
+
+def vectors(seed: int = 5):
+    r = np.random.default_rng(seed)
+    out = []
+    for g in range(12):
+        base = r.normal(size=16)
+        for _ in range(int(r.integers(1, 40))):
+            out.append((base + r.normal(size=16) * r.choice([0.05, 0.12, 0.4])).astype(np.float32).tolist())
+    out += [out[0], out[0], out[1], [0.0] * 16, [float("nan")] * 16, [float("inf")] * 16, [], None, [None] * 16, [1.0] * 8, [2.0] * 8, [3e38] * 16, [1e-38] * 16]
+    return [(i, v, None if i % 31 == 30 else i % 2) for i, v in enumerate(out)]
+
+
+def test_embeddings(spark, monkeypatch):
+    rows = vectors()
+    monkeypatch.setattr(embedding_join, "LEAF", 8)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").repartition(3)
+    ok = [i for i, v, lab in rows if lab is not None and v and all(x is not None and np.isfinite(x) for x in v) and any(v)]
+    unit = {i: np.array(np.float32(rows[i][1]), np.float64) for i in ok}
+    unit = {i: (v / np.abs(v).max()) / np.linalg.norm(v / np.abs(v).max()) for i, v in unit.items()}
+    links = [(a, b) for x, a in enumerate(ok) for b in ok[x + 1 :] if rows[a][2] == rows[b][2] and len(unit[a]) == len(unit[b]) and unit[a] @ unit[b] >= 0.93]
+    tree, deg = trees(len(rows), links), [0] * len(rows)
+    for a, b in links:
+        deg[a] += 1
+        deg[b] += 1
+    assert len(links) > 100
+    got = {r["vec_id"]: r for r in embedding_join.near_vectors(df, cosine=0.93).collect()}
+    for i, _, _ in rows:
+        assert (got[i]["n_links"], got[i]["component_id"], got[i]["kept"]) == (deg[i], tree[i], tree[i] == i), i
+
+
+def test_block_join_in_small_leaves(monkeypatch):
+    monkeypatch.setattr(embedding_join, "LEAF", 4)
+    r = np.random.default_rng(2)
+    x = r.normal(size=(90, 6)) + np.repeat(r.normal(size=(9, 6)) * 3, 10, 0)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    side = lambda a, b: embedding_join._Side((np.arange(a, b).tobytes(), np.ones(b - a, np.int64).tobytes(), np.ascontiguousarray(x[a:b]).tobytes()), 6)
+    eps = float(np.sqrt(2 - 1.86))
+    want = x @ x.T >= 0.93
+    np.fill_diagonal(want, False)
+    whole = side(0, 90)
+    forest = embedding_join.join_blocks(whole, whole, 0.93, eps)
+    assert (whole.count == want.sum(1)).all()
+    assert [forest.find(i) for i in range(90)] == trees(90, np.argwhere(want))
+    a, b = side(0, 50), side(50, 90)
+    embedding_join.join_blocks(a, b, 0.93, eps)
+    assert (a.count == want[:50, 50:].sum(1)).all() and (b.count == want[:50, 50:].sum(0)).all()
+
+
+PAGE = """<!DOCTYPE html><html><head><title>T &amp; x</title><style>p{}</style><script>var a="</p><article>";</script></head><body><nav><ul><li>Home</li></ul></nav><!-- <p>no</p> --><div class="ad">Buy <div>now</div></div>
+<header><h1>Site</h1></header><article><h1>A &lt;title&gt;</h1><p><b>First&nbsp; text<br>more<p>Second
+ one</p><aside>side</aside><div class="cookie-notice"><p>cookies</p></div><form><p>mail</p></form><section class="comments"><p>nice</p></section><ul><li>i1</li><li>i2</li></ul><table><tr><td>c1</td><td>c2</td></tr></table></article><footer>&copy; x</footer>"""
+
+
+def test_html_by_markup(spark):
+    rows = [(1, "http://h/a", PAGE), (2, "http://h/b", None), (3, None, ""), (4, "http://h/c", "<p>loose <i>text</i> &#233; <a href='x"), (5, "http://h/d", "<html><body><main><p>in</p></main><p>out</p></body></html>"), (6, "http://h/e", "plain"), (None, "http://h/f", "<article><p>k")]
+    got = {r["page_id"]: r for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[1]["text"] == "A <title>\nFirst text more\nSecond one\ni1\ni2\nc1\nc2"
+    assert [got[i]["text"] for i in (2, 3, 4, 5, 6, None)] == ["", "", "loose text é", "in", "plain", "k"]
+    assert all(r["n_chars"] == len(r["text"]) for r in got.values())
+
+
+def test_html_host_boilerplate(spark):
+    r = random.Random(4)
+    body = [" ".join(r.choice("alpha beta gamma delta epsilon zeta eta theta".split()) + str(r.randrange(900)) for _ in range(30)) for _ in range(40)]
+    page = lambda i: f"<html><body><div>Welcome to our site of many fine things</div><div>{body[i]}</div><div>All rights reserved by the owners of this site</div></body></html>"
+    rows = [(i, f"http://{'one' if i % 2 else 'two'}.example/p{i}", page(i)) for i in range(40)]
+    got = html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string"), pages=7).collect()
+    assert sorted((r["page_id"], r["text"]) for r in got) == [(i, body[i]) for i in range(40)]
+
+
+def test_repeated_positions_by_brute_force():
+    r = np.random.default_rng(3)
+    for _ in range(30):
+        page = np.sort(r.integers(0, 6, 80))
+        stream = r.integers(0, 3, 80)
+        want = np.zeros(80, bool)
+        grams: dict = {}
+        for i in range(77):
+            if page[i] == page[i + 3]:
+                grams.setdefault(tuple(stream[i : i + 4]), set()).add(page[i])
+        for i in range(77):
+            if page[i] == page[i + 3] and len(grams[tuple(stream[i : i + 4])]) >= 3:
+                want[i : i + 4] = True
+        assert (html_text.repeated_positions(stream, page) == want).all()
+
+
+def test_html_text_is_decoded_once(spark):
+    df = spark.createDataFrame([(1, "u", "<article><p>" + html.escape("<b> & &amp;") + "</p></article>")], "page_id long, url string, html string")
+    assert html_text.extract(df).first()["text"] == "<b> & &amp;"
+
+
+def test_sharding(docs, rows):
+    out = sharding.assign_shards(docs).toPandas()
+    text = {k: (t or "").encode() for k, t, *_ in rows}
+    assert all((r.size_, r.text_crc32) == (len(text[r.doc_id]) + 1, zlib.crc32(text[r.doc_id])) for r in out.rename(columns={"size": "size_"}).itertuples())
+    for shard, g in out.groupby("shard"):
+        assert sorted(g.slot) == list(range(len(g))) and 0 <= shard < 16
+    assert ((out.grown_shard == out.shard) | (out.grown_shard == 16)).all()
+    half = sharding.assign_shards(docs.where("doc_id % 2 = 0")).toPandas().set_index("doc_id").shard
+    assert (out.set_index("doc_id").shard.loc[half.index] == half).all()
+
+
+def test_slot_maps():
+    for n in range(1, 40):
+        a, b = sharding.slot_map(n), sharding.slot_map(n + 1)
+        assert all(x == y or y == n for x, y in zip(a, b, strict=True))
+        load = np.bincount(a, minlength=n)
+        assert load.max() - load.min() <= max(2, 0.05 * 4096 / n)
+    r = random.Random(1)
+    size = [r.randrange(1000) for _ in range(4096)]
+    m = sharding.rebalance(sharding.slot_map(16), size, 16)
+    load = np.bincount(m, weights=size)
+    assert load.max() <= load.mean() * 1.02
+
+
+def repeat_words(words):
+    grams: dict = {}
+    for i in range(len(words) - 2):
+        grams.setdefault(tuple(words[i : i + 3]), []).append(i)
+    return len({j for at in grams.values() if len(at) > 1 for i in at for j in (i, i + 1, i + 2)})
+
+
+def test_quality(docs, rows):
+    got = {r["doc_id"]: r for r in quality.judge(docs).collect()}
+    for k, t, *_ in rows:
+        t = t or ""
+        w = re.findall(r"[^\x20\x09-\x0D]+", t)
+        lines = [x for x in t.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+        rep = repeat_words(w)
+        base = len(w) < 50 or 100 * rep > 50 * len(w)
+        g = got[k]
+        assert (g["n_words"], g["word_chars"], g["n_symbols"], g["n_dup_lines"], g["n_repeat_words"], g["base_failed"]) == (len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t)), len(lines) - len(set(lines)), rep, base)
+        assert g["kept"] == (not base and g["failed_rule"] is None)
+    assert quality.judge(docs).where("kept").count() == sum(r["kept"] for r in got.values())
+
+
+def test_rule_order_does_not_change_the_verdict(spark, docs):
+    kept = {r[0] for r in quality.judge(docs).where("kept").select("doc_id").collect()}
+    assert kept == {r[0] for r in quality.judge(docs, rules=quality.RULES[::-1]).where("kept").select("doc_id").collect()}
+    junk = spark.createDataFrame([(i, " ".join(f"w{j}ord###" for j in range(80))) for i in range(30)] + [(99, " ".join(f"word{j}x" for j in range(80)))], "doc_id long, text string")
+    assert quality.order_rules(junk)[0].name == "symbols"
+
+
+BASE = (re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"), re.compile(r"[0-9]([\x20-]?[0-9])+"), re.compile(r"\+[0-9][\x20().0-9-]+[0-9]"))
+
+
+def base_by_pattern(t):
+    digits = lambda x: re.sub("[^0-9]", "", x)
+    good = (lambda x: True, lambda x: all(int(p) <= 255 for p in x.split(".")), lambda x: 16 <= len(digits(x)) <= 19 and pii.luhn(digits(x)), lambda x: 8 <= len(digits(x)) <= 15)
+    return [(k, *m.span()) for k, p in enumerate(BASE) for m in p.finditer(t) if good[k](m.group())]
+
+
+def test_base_patterns_on_random_text():
+    r = random.Random(8)
+    for _ in range(4000):
+        t = "".join(r.choice("ab1259.@-+ ()é_%\n0") for _ in range(r.randint(0, 40)))
+        assert pii.base_spans(t) == base_by_pattern(t), t
+    card = "4539 5787 6362 1486"
+    assert pii.luhn(card.replace(" ", "")) and pii.base_spans("x " + card + ".") == [(2, 2, 21)]
+    for t in ("9" * 3000, "1." * 2000, "a" * 3000 + "@b.c", "+" + "1 " * 2000, "@" * 2000):
+        assert pii.base_spans(t) == base_by_pattern(t)
+
+
+def test_field_on_held_out_sentences():
+    w = pii.trained()
+    hit = want = extra = 0
+    for t, spans in pii._sentences(200, 99):
+        got, gold = set(pii.decode(t, w)), {(k, a, b) for a, b, k in spans}
+        hit, want, extra = hit + len(got & gold), want + len(gold), extra + len(got - gold)
+    assert hit / want > 0.97 and extra / want < 0.05
+
+
+def test_personal_data(docs, rows):
+    got = {r["doc_id"]: r for r in pii.find_personal(docs).collect()}
+    for k, t, *_ in rows:
+        base = base_by_pattern(t or "")
+        text = ",".join(f"{pii.KINDS[i]}:{a}:{b}" for i, a, b in base)
+        assert got[k]["base_sha256"] == hashlib.sha256(text.encode()).hexdigest()
+        assert [got[k][f"n_{x}"] for x in pii.KINDS[:4]] == [sum(i == j for i, *_ in base) for j in range(4)]
+        assert set(filter(None, text.split(","))) <= set(got[k]["spans"].split(","))
+
+
+def jaccard_by_force(rows, n, percent):
+    sets = []
+    for _, t, *_ in rows:
+        w = (t or "").encode().lower().split()
+        sets.append({tuple(w[i : i + n]) for i in range(max(1, len(w) - n + 1))} if w else set())
+    links = [(a, b) for b in range(len(sets)) for a in range(b) if sets[a] and sets[b] and 100 * (o := len(sets[a] & sets[b])) >= percent * (len(sets[a]) + len(sets[b]) - o)]
+    return [len(s) for s in sets], trees(len(sets), links)
+
+
+@pytest.mark.parametrize("n,percent", [(3, 90), (5, 80), (1, 50), (2, 100)])
+def test_near_duplicates(docs, rows, n, percent, monkeypatch):
+    size, tree = jaccard_by_force(rows, n, percent)
+    for block in (1024, 5):
+        monkeypatch.setattr(ngram_join, "BLOCK_SETS", block)
+        got = {r["doc_id"]: r for r in ngram_join.near_duplicates(docs, n=n, percent=percent).collect()}
+        for i, r in enumerate(rows):
+            assert (got[r[0]]["n_shingles"], got[r[0]]["component_id"]) == (size[i], rows[tree[i]][0]), (i, block)
+
+
+def test_products_by_force():
+    r = np.random.default_rng(6)
+    for percent in (50, 80, 90):
+        for _ in range(20):
+            base = np.arange(60, dtype=np.uint64)
+            sets = [np.unique(np.concatenate([r.choice(base, 50, replace=False), r.integers(100, 140, r.integers(0, 8)).astype(np.uint64)])) for _ in range(30)]
+            for split in (0, 12):
+                links = []
+                for b in range(30):
+                    for a in range(b):
+                        o = len(np.intersect1d(sets[a], sets[b]))
+                        if 100 * o >= percent * (len(sets[a]) + len(sets[b]) - o) and (not split or a < split <= b):
+                            links.append((a, b))
+                assert trees(30, ngram_join.product_links(sets, split, percent)) == trees(30, links)
+
+
+def test_components(spark):
+    r = random.Random(2)
+    links = [(r.randrange(300), r.randrange(300)) for _ in range(200)] + [(300 + i, 301 + i) for i in range(60)] + [(500, x) for x in range(501, 560)]
+    got = {x["node"]: x["root"] for x in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    tree = trees(600, links)
+    assert [got.get(i, i) for i in range(600)] == tree
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+OPERATORS = {
+    "pack": lambda d: packing.pack(d, tokens.public_path(JSON), tokens.public_path(RANKS)),
+    "lines": line_dedup.dedup_lines,
+    "tokens": lambda d: tokens.count_tokens(d, tokens.public_path(JSON)),
+    "mix": mixing.mix,
+    "shards": sharding.assign_shards,
+    "quality": quality.judge,
+    "personal": pii.find_personal,
+    "near": ngram_join.near_duplicates,
+}
+
+
+@pytest.mark.parametrize("name", OPERATORS)
+def test_edge_cases_of_document_operators(spark, name):
+    run = OPERATORS[name]
+    assert run(spark.createDataFrame([], DOCS)).count() == 0
+    clash = ", n_lines string, size string, shard string, n_words string, kept string, component_id string, copy string, slot string, start string, spans string, n_tokens string, _rate string, node string"
+    extra = ("x",) * 13
+    rows = [(None, "a line of ten and more\nb", None, None, None), (7, None, None, None, None), (7, "a line of ten and more\nb", "en", "s", 1), (7, "a line of ten and more\nb", "en", "s", 1), (8, "a line of ten and more\nb", "en", "s", 1)]
+    df = spark.createDataFrame([r + extra for r in rows], DOCS + clash)
+    out = run(df).collect()
+    if name not in ("pack", "mix"):
+        assert len(out) == len(rows)
+    if name == "near":
+        assert {(r["doc_id"], r["component_id"]) for r in out} == {(None, None), (7, 7), (8, 7)}
+    if name == "lines":
+        assert sorted((r["doc_id"] or -1, r["text"]) for r in out) == [(-1, rows[0][1]), (7, ""), (7, rows[0][1]), (7, rows[0][1]), (8, "b")]
+
+
+def test_edge_cases_of_embeddings_and_pages(spark):
+    empty = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
+    assert embedding_join.near_vectors(empty).count() == 0
+    df = spark.createDataFrame([(None, [1.0, 0.0], 1, "x"), (3, [1.0, 0.0], 1, "x"), (3, [1.0, 0.0], 1, "y"), (2, [2.0, 0.0], 1, "x")], "vec_id long, embedding array<float>, label int, component_id string")
+    got = sorted((r["vec_id"] or -1, r["n_links"], r["component_id"], r["kept"]) for r in embedding_join.near_vectors(df).collect() if r["vec_id"] is not None)
+    assert got == [(2, 1, 2, True), (3, 1, 2, False), (3, 1, 2, False)]
+    pages = spark.createDataFrame([], "page_id long, url string, html string, text string")
+    assert html_text.extract(pages).count() == 0
