@@ -84,7 +84,7 @@ class Classes:
         if not 0 < percent <= 100:
             raise ValueError("a percentage")
         self.p = percent
-        self.ratio = max(100 / percent, 1.75) + 1e-9  # wider classes need more parts, narrower ones have more sets in two of them
+        self.ratio = max(100 / percent, 1.6) + 1e-9  # wider classes need more parts, narrower ones have more sets in two of them
 
     @lru_cache(maxsize=None)  # noqa: B019
     def low(self, c: int) -> int:
@@ -104,15 +104,18 @@ class Classes:
     @lru_cache(maxsize=None)  # noqa: B019
     def parts(self, c: int) -> int:
         """Parts for sets whose smaller partner is of class c; 0 where linked sets are equal."""
-        top = self.low(c + 1) - 1
+        low, top = self.low(c), self.low(c + 1) - 1
         d = self.differ(top, top * 100 // self.p)
         if d == 0:
             return 0
+
+        def enough(k: int) -> bool:
+            """Several equal parts are sure for every size, counting out the parts that are empty by chance."""
+            return all(k - self.differ(n, n * 100 // self.p) >= 1 + d // 16 + 1.5 * k * np.exp(-n / k) + (k > 8) for n in (low, (low + top) // 2, top))
+
         k = d + 1
-        while k < d + 1 + d // 16 + 2 * k * np.exp(-self.low(c) / k) + (k > 8):
+        while not enough(k) and k < 4 * d + 8:
             k += 1
-            if k > 4 * d + 8:
-                break
         return k
 
     @lru_cache(maxsize=None)  # noqa: B019
