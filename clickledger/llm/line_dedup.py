@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickledger.llm.common import ASCII_SPACE, new_path, stored
+from clickledger.llm.common import ASCII_SPACE, give_back, new_path, stored
 
 #: Keys per shard: bounds the memory that building or probing one shard takes (about 13 MB).
 SHARD_KEYS = 500_000
@@ -151,6 +151,7 @@ def repeated_lines(df: DataFrame, key: str, text: str, min_chars: int) -> DataFr
             first = np.ones(len(h1), bool)
             first[1:] = (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1]) | (doc[1:] != doc[:-1])
             yield pa.RecordBatch.from_arrays([pa.array(h1[first].view(np.int64)), pa.array(h2[first].view(np.int64)), pa.array(doc[first])], names=["h1", "h2", "doc"])
+            give_back()
 
     seen = df.select(df[key], df[text]).mapInArrow(run, "h1 bigint, h2 bigint, doc bigint")
     per = seen.groupBy("h1", "h2").agg(F.count("*").alias("n_docs"), F.min("doc").alias("keeper"), F.max("doc").alias("_last"))
@@ -245,5 +246,6 @@ def dedup_lines(df: DataFrame, key: str = "doc_id", text: str = "text", min_char
             cols = list(b.columns)
             cols[at_text] = texts.cast(b.schema.field(at_text).type)
             yield pa.RecordBatch.from_arrays([*cols, pa.array(total.astype(np.int64)), pa.array(gone.astype(np.int64))], names=[*b.schema.names, "n_lines", "n_dropped"])
+            give_back()
 
     return plain.mapInArrow(run, schema)

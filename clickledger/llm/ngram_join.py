@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickledger.llm.common import stored
+from clickledger.llm.common import give_back, stored
 from clickledger.llm.components import components
 
 _U64 = np.uint64
@@ -254,6 +254,7 @@ def candidate_ties(df: DataFrame, sets: DataFrame, key: str, text: str, n: int,
                         need += [0] * len(hit)
                         win += [bytes(WINDOW - 1)] * len(hit)
             yield pa.RecordBatch.from_arrays([pa.array(sig, pa.int64()), pa.array(node, pa.int64()), pa.array(need, pa.int32()), pa.array(win, pa.binary())], names=["sig", "node", "need", "window"])
+            give_back()
 
     rows = texts.mapInArrow(windowed, "sig bigint, node bigint, need int, window binary")
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -277,6 +278,7 @@ def shingle_sets(df: DataFrame, key: str, text: str, n: int, percent: int) -> Da
             ends = np.cumsum([0, *map(len, sigs)]).astype(np.int32)
             flat = np.concatenate(sigs) if sigs else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), pa.array(size, pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], names=["node", "n_shingles", "h1", "h2", "sigs"])
+            give_back()
 
     return df.select(df[key], df[text]).mapInArrow(run, "node bigint, n_shingles bigint, h1 bigint, h2 bigint, sigs array<bigint>")
 
@@ -413,6 +415,7 @@ def jaccard_links(df: DataFrame, sets: DataFrame, key: str, text: str, n: int, p
         shingle = Shingler(n)
         for b in batches:
             yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array([shingle(t.as_py()).tobytes() for t in b.column(4)], pa.binary())], names=["root", "blocks", "blk", "node", "elements"])
+            give_back()
 
     rows = texts.mapInArrow(shingled, "root bigint, blocks int, blk int, node bigint, elements binary")
     dealt = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("root", F.least("blk", "other").alias("bi"), F.greatest("blk", "other").alias("bj"), "blk", "node", "elements")

@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from clickledger.llm.common import give_back
 from clickledger.llm.tokens import library
 
 #: Whole documents' tails that a task holds open at a time.
@@ -210,6 +211,7 @@ def pack(df: DataFrame, path: str, ranks: str | None = None, key: str = "doc_id"
                 count += 1
                 if len(packer.rows) >= 8192:
                     yield out()
+            give_back()
         packer.finish()
         if packer.rows:
             yield out()
