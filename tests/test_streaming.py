@@ -51,11 +51,9 @@ def test_clean_query_dispositions(spark, tmp_path):
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     try:
         stream = spark.readStream.schema(PACKET).option("maxFilesPerTrigger", 1).json(str(tmp_path / "in"))
-        q = clean.dispositions(stream, Rules()).select("receipt_id", "disposition").writeStream.format("memory").queryName("clean_out").outputMode("append").option("checkpointLocation", str(tmp_path / "c")).start()
-        try:
-            q.processAllAvailable()
-        finally:
-            q.stop()
+        out = clean.dispositions(stream, Rules()).select("receipt_id", "disposition")
+        q = out.writeStream.format("memory").queryName("clean_out").outputMode("append").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+        q.awaitTermination()
     finally:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", old)
     got = spark.table("clean_out").groupBy("disposition").count().collect()
