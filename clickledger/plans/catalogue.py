@@ -43,7 +43,7 @@ def oracle_sql() -> dict[str, str]:
 
 
 def _outcome(spark: SparkSession, sf_dir: str) -> Outcome:
-    return calculate(adapter.packets(spark, sf_dir), RULES, adapter.campaigns(spark))
+    return calculate(adapter.packets(spark, sf_dir), RULES, adapter.campaigns(spark), keep=True)
 
 
 # The meaning of the engine in SQL, as a chain of common table expressions.

@@ -31,14 +31,13 @@ def staged(packets: DataFrame, rules: Rules) -> DataFrame:
 
 
 class FirstWithin(StatefulProcessor):
-    """Marks all but the first open row of a key within the horizon, on the processing-time clock."""
+    """Marks all but the first open row of a key within the horizon, on the processing-time clock. State expires by its time to live, which only an acceptance starts."""
 
     def __init__(self, horizon_ms: int, code: str):
         self.horizon_ms, self.code = horizon_ms, code
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.until = handle.getValueState("until", "until long")
+        self.until = handle.getValueState("until", "until long", ttlDurationMs=self.horizon_ms)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         now = timerValues.getCurrentProcessingTimeInMs()
@@ -53,18 +52,11 @@ class FirstWithin(StatefulProcessor):
             if until is None:
                 until = now + self.horizon_ms
                 self.until.update((until,))
-                self.handle.registerTimer(until)
             else:
                 codes[i] = self.code
         pdf["error_code"] = codes
         yield pdf.drop(columns=["_key"], errors="ignore")
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        held = self.until.get()
-        if held is not None and held[0] <= expiredTimerInfo.getExpiryTimeInMs():
-            self.until.clear()
-        yield from ()
-
     def close(self) -> None:
         pass
 
