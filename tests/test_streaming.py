@@ -1,6 +1,9 @@
 from __future__ import annotations
 
+import json
+
 import pytest
+from pyspark.sql import functions as F
 
 from clickledger.functions.contracts import PACKET, Rules
 from clickledger.operators import reconcile, results
@@ -10,6 +13,9 @@ from clickledger.sources.packets import offline_packets
 from clickledger.streaming import clean
 from clickledger.streaming.live import LiveEngine
 
+from tests.helpers import BASE, event
+from tests.helpers import packets as packets_of
+
 
 def files(spark, packets, path, n=3):
     packets.repartitionByRange(n, "ordinal").write.json(path)
@@ -17,8 +23,15 @@ def files(spark, packets, path, n=3):
 
 @pytest.mark.parametrize("scenario", ["mixed", "conversion-first"])
 def test_live_results_converge_to_the_batch_result(spark, tmp_path, scenario):
-    packets = offline_packets(generator.transport(generator.truth(spark, 25), scenario)).cache()
-    files(spark, packets, str(tmp_path / "in"))
+    sent = offline_packets(generator.transport(generator.truth(spark, 25), scenario)).cache()
+    files(spark, sent, str(tmp_path / "in"))
+    # Two late impressions of another advertiser move the watermark past every wait; what has not found its click by then is unmatched.
+    clock = []
+    for i in (1, 2):
+        late = json.dumps(event("impression", f"clock{i}", 4_000_000_000_000 + i, advertiser_id="clock"))
+        clock.append(spark.createDataFrame([(f"clock{i}", 4_000_000_000_000, 1_000_000_000 + i, late)], PACKET))
+        clock[-1].coalesce(1).write.mode("append").json(str(tmp_path / "in"))
+    packets = sent.unionByName(clock[0]).unionByName(clock[1])
     engine = LiveEngine(spark, str(tmp_path / "live"))
     stream = lambda: spark.readStream.schema(PACKET).option("maxFilesPerTrigger", 1).json(str(tmp_path / "in"))
     engine.start(stream(), str(tmp_path / "checkpoint"), availableNow=True).awaitTermination()
@@ -44,6 +57,34 @@ def test_a_repeated_batch_changes_nothing(spark, tmp_path):
     assert {tuple(r) for r in engine.results().collect()} == first
 
 
+def test_pending_conversions_and_signals(spark, tmp_path):
+    hour = 3_600_000
+    batches = [
+        [event("conversion", "1"), event("impression", "9")],
+        [event("impression", "10", BASE + 3 * hour)],
+        [event("impression", "11", BASE + 3 * hour + 1, advertiser_id="other")],
+        [event("click", "1", BASE - 1000)],
+        [event("impression", "12", BASE - 30 * hour), event("impression", "1", BASE - 2000)],
+    ]
+    every = packets_of(spark, [e for b in batches for e in b]).cache()
+    engine = LiveEngine(spark, str(tmp_path / "live"))
+    at, seen = 0, []
+    for i, b in enumerate(batches):
+        engine.process(every.where(f"ordinal >= {at} AND ordinal < {at + len(b)}"), i)
+        at += len(b)
+        stored = engine.results().drop("batch")
+        (a,) = results.latest_associations(stored, "live-v1").collect()
+        counted = results.latest_metrics(stored, "live-v1").agg(F.sum("unmatched_conversions")).first()[0]
+        seen.append((a["status"], a["reason"], a["variant"], counted, sorted((r["event_id"], r["error_code"]) for r in engine.signals().where(f"batch = {i}").collect())))
+    assert seen == [
+        ("pending", "AWAITING_CLICK", "unknown", 0, []),
+        ("pending", "AWAITING_CLICK", "unknown", 0, []),
+        ("unmatched", "CLICK_NOT_FOUND", "unknown", 1, [("e-conversion-1", "CLICK_NOT_FOUND")]),
+        ("matched", "MATCHED", "unknown", 0, [("e-click-1", "IMPRESSION_NOT_FOUND"), ("e-click-1", "LATE_CLICK_REPLAY_REQUIRED")]),
+        ("matched", "MATCHED", "control", 0, [("e-impression-12", "LATE_REPLAY_REQUIRED")]),
+    ]
+
+
 def test_clean_query_dispositions(spark, tmp_path):
     packets = offline_packets(generator.transport(generator.truth(spark, 20), "mixed")).cache()
     files(spark, packets, str(tmp_path / "in"), 2)
