@@ -1,33 +1,42 @@
 """Connected components of an edge table that no single machine has to hold.
 
 Alternating large-star and small-star rounds (Kiveris et al., 2014): each round is two
-grouped minima and two equi-joins, all with map-side combining, and ends in a table in
-the shared folder, so that a lost executor costs at most one round.
+grouped minima and two equi-joins, by slices of a node's links so that a large component's root is
+spread over tasks, and ends in a table in the shared folder, so that a lost executor costs at most one round.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickledger.llm.common import drop_stored, stored
 
 
+#: The links of a node are handled in this many slices.
+SLICES = 64
+
+
 def _both_ways(e: DataFrame) -> DataFrame:
     return e.select("a", "b").union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
 
 
+def _with_least(links: DataFrame) -> DataFrame:
+    """links (a, b) plus m, the smallest b of their a. A task gets one slice of a node's links, or one row of each of its slices."""
+    sliced = links.withColumn("s", F.pmod(F.xxhash64("b"), F.lit(SLICES)))
+    least = sliced.groupBy("a", "s").agg(F.min("b").alias("m"))
+    back = least.withColumn("m", F.min("m").over(Window.partitionBy("a")))
+    return sliced.join(back, ["a", "s"]).select("a", "b", "m")
+
+
 def _large_star(e: DataFrame) -> DataFrame:
-    sym = _both_ways(e)
-    least = sym.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    return sym.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+    links = _with_least(_both_ways(e)).where("b > a")
+    return links.select(F.col("b").alias("a"), F.least("a", "m").alias("b")).distinct()
 
 
 def _small_star(e: DataFrame) -> DataFrame:
     down = e.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    least = down.groupBy("a").agg(F.min("b").alias("m"))
-    rest = down.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return rest.union(least.select("a", F.col("m").alias("b"))).distinct()
+    return _with_least(down).select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b")).distinct()
 
 
 def components(edges: DataFrame, rounds: int = 64) -> DataFrame:
