@@ -27,7 +27,7 @@ def staged(packets: DataFrame, rules: Rules) -> DataFrame:
         .when(~F.col("schema_version").isin(*rules.schema_versions), "SCHEMA_VERSION_DISABLED")
         .when((F.col("event_time") < rules.effective_from) | (F.coalesce(F.col("region").isin(*rules.filter_regions), F.lit(False)) if rules.filter_regions else F.lit(False)), "RULE_FILTERED")
     )
-    return checked.drop("_event").withColumn("error_code", stopped)
+    return checked.drop("_event", "_unexpected").withColumn("error_code", stopped)
 
 
 class FirstWithin(StatefulProcessor):
