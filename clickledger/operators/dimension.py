@@ -18,9 +18,13 @@ def version_lists(dimension: DataFrame, max_versions: int = MAX_VERSIONS) -> Dat
     return dimension.groupBy(F.col("campaign_id").alias("_campaign")).agg(F.collect_list(F.struct("source_version", "effective_from", "effective_to", "channel", "deleted")).alias("_versions"))
 
 
+def _in_force(versions: Column, timestamp: Column) -> Column:
+    return F.filter(versions, lambda v: (v["effective_from"] <= timestamp) & (v["effective_to"].isNull() | (timestamp < v["effective_to"])))
+
+
 def channel_at(versions: Column, timestamp: Column) -> Column:
     """The channel of the version in force: the largest (source_version, effective_from) whose interval [from, to) holds the time."""
-    valid = F.filter(versions, lambda v: (v["effective_from"] <= timestamp) & (v["effective_to"].isNull() | (timestamp < v["effective_to"])))
+    valid = _in_force(versions, timestamp)
     ranked = F.transform(valid, lambda v: F.struct(v["source_version"].alias("s"), v["effective_from"].alias("f"), F.when(v["deleted"], "deleted").otherwise(v["channel"]).alias("c")))
     return F.coalesce(F.array_max(ranked)["c"], F.lit(UNKNOWN))
 
@@ -32,3 +36,10 @@ def with_channel(rows: DataFrame, dimension: DataFrame | None, campaign: str = "
     lists = version_lists(dimension)
     joined = rows.join(F.broadcast(lists), rows[campaign] == lists["_campaign"], "left")
     return joined.withColumn("channel", channel_at(F.col("_versions"), F.col(timestamp))).drop("_campaign", "_versions")
+
+
+def without_version(rows: DataFrame, dimension: DataFrame, campaign: str = "campaign_id", timestamp: str = "timestamp") -> DataFrame:
+    """The rows whose campaign has no version in force at their time; one with a deleted version has one."""
+    lists = version_lists(dimension)
+    joined = rows.join(F.broadcast(lists), rows[campaign] == lists["_campaign"], "left")
+    return joined.where(F.coalesce(F.size(_in_force(F.col("_versions"), F.col(timestamp))), F.lit(0)) <= 0).drop("_campaign", "_versions")

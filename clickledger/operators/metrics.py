@@ -27,21 +27,21 @@ def _dimensions(event_only: bool) -> list[Column]:
     ]
 
 
-def contributions(clean: DataFrame, clicks: DataFrame, conversions: DataFrame) -> DataFrame:
-    """One row per counter increment: dimensions without channel, cohort, timestamp, currency, counters."""
+def contributions(clean: DataFrame, clicks: DataFrame, conversions: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row per counter increment: dimensions without channel, cohort, timestamp, currency, counters; and the event's own columns in `carry`."""
     t = F.col("event_time")
-    imps = clean.where("event_type = 'impression'").select(*_dimensions(True), F.explode(F.array(_part("occurrence", t, impressions=1), _part("impression", t, impressions=1))).alias("c"))
+    imps = clean.where("event_type = 'impression'").select(*carry, *_dimensions(True), F.explode(F.array(_part("occurrence", t, impressions=1), _part("impression", t, impressions=1))).alias("c"))
     own = [_part("occurrence", t, clicks=1), _part("click", t, clicks=1)]
     linked = F.when(F.col("impression").isNotNull(), F.array(*own, _part("impression", F.col("impression.event_time"), clicks=1))).otherwise(F.array(*own))
-    clk = clicks.select(*_dimensions(False), F.explode(linked).alias("c"))
+    clk = clicks.select(*carry, *_dimensions(False), F.explode(linked).alias("c"))
     matched = F.array(
         _part("occurrence", t, matched_conversions=1),
         _part("click", F.col("click_time"), matched_conversions=1, converted_clicks=F.col("first_of_click")),
         _part("conversion_value", F.col("click_time"), F.col("currency"), matched_conversions=1, value_minor=F.col("value_minor")),
     )
-    conv = conversions.select(*_dimensions(False), F.explode(F.when(F.col("status") == "matched", matched).otherwise(F.array(_part("occurrence", t, unmatched_conversions=1)))).alias("c"))
+    conv = conversions.select(*carry, *_dimensions(False), F.explode(F.when(F.col("status") == "matched", matched).otherwise(F.array(_part("occurrence", t, unmatched_conversions=1)))).alias("c"))
     plain = [d for d in DIMENSIONS if d not in ("currency", "channel")]
-    return imps.unionByName(clk).unionByName(conv).select(*plain, "c.*")
+    return imps.unionByName(clk).unionByName(conv).select(*carry, *plain, "c.*")
 
 
 def aggregate(rows: DataFrame, rules: Rules, dimension: DataFrame | None = None, release_id: str = "replay-v1", status: str = "final") -> DataFrame:

@@ -14,6 +14,7 @@ visits its scope even if nothing new came for it. Signals say what a consumer of
 * the other exposure reasons: with the click or the impression that brought them up.
 * LATE_CLICK_REPLAY_REQUIRED: a click of a conversion already published as unmatched.
 * LATE_REPLAY_REQUIRED: an event older than the retention.
+* DIMENSION_HISTORY_MISSING: an event that counts for a campaign and a time without a version in the history, once. None without a history.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from clickledger.functions.contracts import Rules
+from clickledger.operators import dimension as campaigns
 from clickledger.operators import link, metrics, results, validate
 
 _SCOPE = ("advertiser_id", "app_id")
@@ -64,7 +66,7 @@ class LiveEngine:
     def _write(self, df: DataFrame, name: str, batch_id: int) -> None:
         df.write.mode("overwrite").parquet(f"{self.root}/{name}/batch={batch_id}")
 
-    def _signals(self, clean: DataFrame, clicks: DataFrame, conversions: DataFrame, now: int, earlier: int) -> DataFrame:
+    def _signals(self, clean: DataFrame, clicks: DataFrame, conversions: DataFrame, now: int, earlier: int, batch_id: int) -> DataFrame:
         """Signals of one batch; `_new` marks its events, `now` and `earlier` are its watermark and the one before."""
         deadline = F.col("event_time") + self.rules.join_wait_ms
         just_over = (deadline > earlier) & (deadline <= now)
@@ -79,6 +81,11 @@ class LiveEngine:
             .unionByName(coded(conversions.where(~F.col("_new") & just_over & (F.col("reason") == "CLICK_NOT_FOUND")), F.col("reason")))
             .unionByName(coded(clicks.where("_new").join(published, [*_SCOPE, "click_id"], "left_semi"), F.lit("LATE_CLICK_REPLAY_REQUIRED")))
         )
+        if self.dimension is not None:
+            counted = metrics.contributions(clean, clicks, conversions.where((F.col("reason") != "CLICK_NOT_FOUND") | (deadline <= now)), ("_receipt_id", "event_id", "received_at"))
+            lacking = campaigns.without_version(counted, self.dimension).dropDuplicates(["_receipt_id"])
+            told = self.signals().where((F.col("batch") < batch_id) & (F.col("error_code") == "DIMENSION_HISTORY_MISSING")).select(F.col("receipt_id").alias("_receipt_id"))
+            rows = rows.unionByName(coded(lacking.join(told, "_receipt_id", "left_anti"), F.lit("DIMENSION_HISTORY_MISSING")))
         return rows.select(
             F.col("_receipt_id").alias("receipt_id"), "event_id", F.lit("attribution").alias("dataset"), F.lit("attribution-v1").alias("rule_id"), F.lit(self.rules.rule_version).alias("rule_version"), F.lit("signal").alias("disposition"), "error_code", F.lit(None).cast("string").alias("detail"), "received_at"
         )
@@ -115,7 +122,7 @@ class LiveEngine:
                 gone = results.vanished(stale, rows, self.release_id, self.rules.rule_version)
                 out = out.unionByName(results.as_records(gone, "metric", partition("metric_key"), offset, offset))
         self._write(out, "results", batch_id)
-        self._write(self._signals(clean, clicks, conversions, now, earlier), "signals", batch_id)
+        self._write(self._signals(clean, clicks, conversions, now, earlier, batch_id), "signals", batch_id)
         lacking = clicks.where((F.col("reason") == "IMPRESSION_NOT_FOUND") & (deadline > now)).select(*_SCOPE, deadline.alias("deadline"))
         self._write(lacking.unionByName(conversions.where(waits).select(*_SCOPE, deadline.alias("deadline"))).distinct(), "waiting", batch_id)
         reached = None if now == _NEVER else now + self.rules.out_of_order_ms

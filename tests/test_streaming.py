@@ -85,6 +85,25 @@ def test_pending_conversions_and_signals(spark, tmp_path):
     ]
 
 
+def test_missing_campaign_history_is_signalled_once(spark, tmp_path):
+    versions = "campaign_id string, effective_from bigint, effective_to bigint, source_version bigint, channel string, deleted boolean"
+    own = event("impression", "1")["campaign_id"]
+    history = spark.createDataFrame([(own, BASE, None, 1, "feed", False)], versions)
+    batches = [
+        [event("impression", "1"), event("impression", "2", BASE - 1), event("impression", "3", campaign_id="campaign-new"), event("conversion", "7", campaign_id="campaign-new")],
+        [event("impression", "4", BASE + 1), event("impression", "5", campaign_id="campaign-new")],
+    ]
+    every = packets_of(spark, [e for b in batches for e in b]).cache()
+    engine = LiveEngine(spark, str(tmp_path / "live"), dimension=history)
+    at = 0
+    for i, b in enumerate(batches):
+        engine.process(every.where(f"ordinal >= {at} AND ordinal < {at + len(b)}"), i)
+        at += len(b)
+    got = sorted((r["batch"], r["event_id"]) for r in engine.signals().where("error_code = 'DIMENSION_HISTORY_MISSING'").collect())
+    # The conversion still waits for its click and does not count yet.
+    assert got == [(0, "e-impression-2"), (0, "e-impression-3"), (1, "e-impression-5")]
+
+
 def test_clean_query_dispositions(spark, tmp_path):
     packets = offline_packets(generator.transport(generator.truth(spark, 20), "mixed")).cache()
     files(spark, packets, str(tmp_path / "in"), 2)
