@@ -241,6 +241,20 @@ def test_html_host_boilerplate(spark):
     assert sorted((r["page_id"], r["text"]) for r in got) == [(i, body[i]) for i in range(40)]
 
 
+def test_html_boilerplate_counts_over_the_whole_host(spark):
+    """A notice on 12 of 300 pages of a host of many arrays, and one that two unmarked pages share with a marked page, go; a text on two pages stays."""
+    r = random.Random(5)
+    body = [" ".join(f"w{r.randrange(10**9)}" for _ in range(12)) for _ in range(303)]
+    notice, twice, shared = "The shop is closed on all public holidays", "This passage stands on just two of the pages", "Printed in the old town by the river"
+    extra = {i: notice for i in range(0, 300, 25)} | {7: twice, 205: twice, 11: shared, 222: shared}
+    rows = [(i, f"http://Big.example/{i}", f"<div>{body[i]}</div>" + (f"<div>{extra[i]}</div>" if i in extra else "")) for i in range(300)]
+    rows += [(300, "http://big.example/m", f"<article><p>{body[300]}</p></article><footer>{shared}</footer>"), (301, "http://small.example/1", f"<div>{notice}</div>"), (302, "http://small.example/2", f"<div>{notice}</div>")]
+    want = {i: body[i] + (f"\n{twice}" if i in (7, 205) else "") for i in range(301)} | {301: notice, 302: notice}
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    for pages, more in ((5, {}), (5, {"group_runs": 100}), (400, {})):
+        assert {x["page_id"]: x["text"] for x in html_text.extract(df, pages=pages, **more).collect()} == want
+
+
 def test_repeated_positions_by_brute_force():
     r = np.random.default_rng(3)
     for _ in range(30):
