@@ -3,7 +3,7 @@
 The patterns give the base spans. The field adds what they miss: around every place that
 could hold personal data it scores whole candidate spans by features of the span (digits, checksum,
 shape, quoted secret, cue words before it, clean edges) and finds the best segmentation by dynamic
-programming over segments of at most MAX_TOKENS tokens, which chooses boundaries and types
+programming over segments of at most MAX_TOKENS tokens (whole spoken addresses may be longer), which chooses boundaries and types
 together. Its weights are trained by maximum likelihood on TRAIN_SENTENCES sentences drawn from
 a seeded generator: a bounded labelled sample.
 """
@@ -100,7 +100,8 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 # The field.
 
 _TRIGGER = re.compile(r"\+?\(?[0-9][0-9 ().-]{5,}[0-9]|[0-9][0-9A-Za-z+/_=-]{19,}|(?<![0-9A-Za-z+/_=-])[A-Za-z][0-9A-Za-z+/_=-]{19,}|:[0-9A-Fa-f]{1,4}:[0-9A-Fa-f]{1,4}:")
-_SPOKEN_TRIGGER = re.compile(r"(?i)\(at\)|\[at\]| at (?=[a-z0-9-]+ dot )")
+_SPOKEN_TRIGGER = re.compile(r"(?i)(?:\(at\)|\[at\])(?: ?[a-z0-9-]+(?: ?(?:\(dot\)|\[dot\]| dot |\.) ?[a-z0-9-]+)+)?| at [a-z0-9-]+ dot (?:[a-z0-9-]+(?: dot [a-z0-9-]+)*)?")
+_SPOKEN_LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._-")
 _TOKEN = re.compile(r"[^\W_]+|\s+|[^\w\s]|_")
 _EMAIL_FULL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _EMAIL_SPOKEN = re.compile(r"(?i)[a-z0-9][a-z0-9._-]*(?: ?(?:\(at\)|\[at\]) ?[a-z0-9-]+(?: ?(?:\(dot\)|\[dot\]| dot |\.) ?[a-z0-9-]+)+| at [a-z0-9-]+(?: dot [a-z0-9-]+)+)")
@@ -153,9 +154,31 @@ def _features(text: str, a: int, b: int) -> list[float]:
     ]
 
 
+def _lower(text: str) -> str:
+    """Lower case, character by character where some character's is longer, so that positions stay."""
+    low = text.lower()
+    return low if len(low) == len(text) else "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
+
+
+def _says_at(low: str) -> bool:
+    return (" at " in low or "(at)" in low or "[at]" in low) and ("dot" in low or "." in low)
+
+
+def _spoken(text: str) -> Iterator[tuple[int, int]]:
+    """Stretches of spoken addresses of any length, each with the characters of a local part before it."""
+    low = text.lower()
+    if "at)" in low or "at]" in low or " dot " in low:
+        for m in _SPOKEN_TRIGGER.finditer(text):
+            a = m.start() - (text[m.start()] != " " and text[m.start() - 1 : m.start()] == " ")
+            while a > 0 and text[a - 1] in _SPOKEN_LOCAL:
+                a -= 1
+            yield a, m.end()
+
+
 def _candidates(text: str, tokens: list[tuple[int, int]]) -> list[tuple[int, int, list[float]]]:
-    """(first token, token after the last, features) of the spans that could be an entity: at most MAX_TOKENS tokens, edges not blank, at least seven digits or an address sign or a long word."""
+    """(first token, token after the last, features) of the spans that could be an entity: at most MAX_TOKENS tokens, edges not blank, at least seven digits or an address sign or a long word. Whole spoken addresses of more tokens are added."""
     out = []
+    low = _lower(text)
     for i, (a, _) in enumerate(tokens):
         if not (text[a].isalnum() or text[a] in "+("):
             continue
@@ -166,10 +189,22 @@ def _candidates(text: str, tokens: list[tuple[int, int]]) -> list[tuple[int, int
             if not text[y - 1].isalnum():
                 continue
             s = text[a:y]
-            if digits >= 7 or "@" in s or (y - a >= 20 and " " not in s) or s.count(":") >= 4 or ((" at " in s or "(at)" in s or "[at]" in s) and ("dot" in s or "." in s)):
+            if digits >= 7 or "@" in s or (y - a >= 20 and " " not in s) or s.count(":") >= 4 or _says_at(low[a:y]):
                 f = _features(text, a, y)
                 if any(f[1:10]):
                     out.append((i, j + 1, f))
+    if len(tokens) > MAX_TOKENS:
+        first, last = {a: i for i, (a, _) in enumerate(tokens)}, {b: i + 1 for i, (_, b) in enumerate(tokens)}
+        for a, b in _spoken(text):
+            while a < b and not text[a].isalnum():
+                a += 1
+            while a < b and not text[b - 1].isalnum():
+                b -= 1
+            i, j = first.get(a), last.get(b)
+            if i is not None and j is not None and j - i > MAX_TOKENS:
+                f = _features(text, a, b)
+                if any(f[1:10]):
+                    out.append((i, j, f))
     return out
 
 
@@ -307,10 +342,7 @@ def decode(text: str, w: np.ndarray) -> list[tuple[int, int, int]]:
 
 
 def _triggers(text: str) -> list[tuple[int, int]]:
-    found = [m.span() for m in _TRIGGER.finditer(text)]
-    if "at)" in text or "at]" in text or " dot " in text or "AT" in text:
-        found = sorted(found + [m.span() for m in _SPOKEN_TRIGGER.finditer(text)])
-    return found
+    return sorted([m.span() for m in _TRIGGER.finditer(text)] + list(_spoken(text)))
 
 
 def _windows(text: str) -> Iterator[tuple[int, int]]:

@@ -357,6 +357,14 @@ def test_field_on_held_out_sentences():
     assert hit / want > 0.97 and extra / want < 0.05
 
 
+def test_spoken_addresses_in_any_case_and_of_any_length():
+    w = pii.trained()
+    long = "jane at mail" + " dot example" * 20 + " dot uk"
+    for x in ("jane at example dot com", "jane (At) example.com", "Jane At Example Dot Com", "jane at example DOT com", "JANE AT EXAMPLE DOT COM", "jo [AT] ab.org", "jo(AT)ab[DOT]org", "jane at mail dot example dot co dot uk", long, "j" * 90 + " At example Dot com"):
+        for before in ("", "İ write to "):
+            assert pii.find(f"{before}{x}, please", w)[1] == [(0, len(before), len(before) + len(x))], x
+
+
 def test_personal_data(docs, rows):
     got = {r["doc_id"]: r for r in pii.find_personal(docs).collect()}
     for k, t, *_ in rows:
