@@ -3,7 +3,8 @@
 A record hashes into one of SLOTS slots for good; only the slot-to-shard map changes.
 The map is a small versioned table with the rows and bytes of every slot. Version n is
 the map for n shards: it comes from version n-1 by moving slots to the new shard only, so
-no record moves between old shards. `rebalance` edits a map by the stored slot bytes.
+no record moves between old shards. Version BALANCED is the current map edited by the slot bytes
+(`rebalance`); it is stored beside the others, and law 'key' does not read it.
 
 Native: DataFrame expressions only.
 """
@@ -16,6 +17,8 @@ from pyspark.sql import functions as F
 from clickledger.llm.common import stored
 
 SLOTS = 4096
+#: The version that is edited by bytes; versions by number of shards count from 1.
+BALANCED = 0
 
 
 def slot_map(shards: int, slots: int = SLOTS) -> list[int]:
@@ -80,7 +83,11 @@ def assign_shards(df: DataFrame, key: str = "doc_id", text: str = "text", shards
         df.select(df[key].alias("_key"), (F.octet_length(body).cast("long") + 1).alias("size"), F.crc32(body.cast("binary")).alias("text_crc32"), slot_of(df[key], slots).alias("virtual_slot")),
         "slot-rows",
     )
-    versions = slot_versions(rows, {shards: now, shards + 1: grown})
+    held = stored(rows.groupBy("virtual_slot").agg(F.count("*").alias("n_rows"), F.sum("size").alias("n_bytes")), "slot-bytes")
+    slot_bytes = [0] * slots
+    for r in held.select("virtual_slot", "n_bytes").collect():  # at most SLOTS rows
+        slot_bytes[r["virtual_slot"]] = r["n_bytes"]
+    versions = slot_versions(held, {shards: now, shards + 1: grown, BALANCED: rebalance(now, slot_bytes, shards)})
     places = versions.where(F.col("version") == shards).select("virtual_slot", "shard", "first_place")
     in_slot = Window.partitionBy("virtual_slot").orderBy("_key", "text_crc32", "size")
     numbered = rows.withColumn("_n", F.row_number().over(in_slot).cast("long") - 1)
@@ -89,9 +96,8 @@ def assign_shards(df: DataFrame, key: str = "doc_id", text: str = "text", shards
     )
 
 
-def slot_versions(rows: DataFrame, maps: dict[int, list[int]]) -> DataFrame:
-    """The stored map: version, virtual_slot, shard, n_rows, n_bytes, first_place (rows of the shard in earlier slots); slots that hold no row are left out."""
-    held = rows.groupBy("virtual_slot").agg(F.count("*").alias("n_rows"), F.sum("size").alias("n_bytes"))
+def slot_versions(held: DataFrame, maps: dict[int, list[int]]) -> DataFrame:
+    """The stored map, from the rows and bytes of the slots: version, virtual_slot, shard, n_rows, n_bytes, first_place (rows of the shard in earlier slots); slots that hold no row are left out."""
     every = None
     for version, m in maps.items():
         one = held.select(F.lit(version).alias("version"), "virtual_slot", _lookup(m, F.col("virtual_slot")).alias("shard"), "n_rows", "n_bytes")

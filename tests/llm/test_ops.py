@@ -287,6 +287,19 @@ def test_sharding(docs, rows):
     assert (out.set_index("doc_id").shard.loc[half.index] == half).all()
 
 
+def test_sharding_stores_a_map_rebalanced_by_bytes(spark, monkeypatch):
+    tables, real = {}, sharding.stored
+    monkeypatch.setattr(sharding, "stored", lambda df, name: tables.setdefault(name, real(df, name)))
+    docs = spark.range(4000).selectExpr("id AS doc_id", "repeat('x', IF(id < 12, 9000, 40)) AS text")
+    out = sharding.assign_shards(docs, shards=4).toPandas()
+    stored = tables["slot-map"].toPandas()
+    assert set(stored.version) == {4, 5, sharding.BALANCED} and (stored.groupby("version").n_rows.sum() == 4000).all()
+    load = stored.groupby(["version", "shard"]).n_bytes.sum()
+    assert load[4].max() > load[4].mean() * 1.02 >= load[sharding.BALANCED].max()
+    now = dict(stored[stored.version == 4][["virtual_slot", "shard"]].values)
+    assert all(now[a] == b for a, b in zip(out.virtual_slot, out.shard, strict=True))
+
+
 def test_slot_maps():
     for n in range(1, 40):
         a, b = sharding.slot_map(n), sharding.slot_map(n + 1)
