@@ -21,22 +21,22 @@ def _both_ways(e: DataFrame) -> DataFrame:
     return e.select("a", "b").union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
 
 
-def _with_least(links: DataFrame) -> DataFrame:
-    """links (a, b) plus m, the smallest b of their a. A task gets one slice of a node's links, or one row of each of its slices."""
+def with_least(links: DataFrame) -> DataFrame:
+    """links (a, b, ...) plus m, the smallest b of their a. A task gets one slice of a node's links, or one row of each of its slices."""
     sliced = links.withColumn("s", F.pmod(F.xxhash64("b"), F.lit(SLICES)))
     least = sliced.groupBy("a", "s").agg(F.min("b").alias("m"))
     back = least.withColumn("m", F.min("m").over(Window.partitionBy("a")))
-    return sliced.join(back, ["a", "s"]).select("a", "b", "m")
+    return sliced.join(back, ["a", "s"]).drop("s")
 
 
 def _large_star(e: DataFrame) -> DataFrame:
-    links = _with_least(_both_ways(e)).where("b > a")
+    links = with_least(_both_ways(e)).where("b > a")
     return links.select(F.col("b").alias("a"), F.least("a", "m").alias("b")).distinct()
 
 
 def _small_star(e: DataFrame) -> DataFrame:
     down = e.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    return _with_least(down).select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b")).distinct()
+    return with_least(down).select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b")).distinct()
 
 
 def components(edges: DataFrame, rounds: int = 64) -> DataFrame:

@@ -3,16 +3,19 @@
 The matrix has a row per distinct shingle set and a column per shingle; its product with its own
 transpose holds the overlaps. Only blocks that can hold a link are multiplied:
 
-1. Sets are cut by hash range into as many parts as two linked sets of their size class can differ
-   in elements, plus a few: then at least one part that is not empty is equal in both (the
-   pigeonhole of Arasu et al., 2006). Sets with an equal part meet in a bucket. As more than one part is sure to be equal,
-   the parts that follow it must agree in number as well; this parts sets that only have a passage in common. What is left
-   ties sets into candidate groups.
+1. A set is cut by hash range into more parts than two linked sets of its size class can differ in elements, so a known number of
+   parts is equal in both (the pigeonhole of Arasu et al., 2006); small sets are cut into their elements. A
+   signature is the hash of one part. Of a set's signatures the rarest are kept, as many as make sure that two linked sets keep one in common (prefix
+   filtering, Chaudhuri et al., 2006): a signature that only one set has comes first and costs nothing, one that very
+   many sets have comes last and is hardly ever kept. Sets that keep a signature in common are tied into candidate groups.
 2. A candidate group is dealt into blocks of bounded rows and elements; every pair of blocks is one small
    sparse product, made column range by column range. Overlaps add up, and rows and pairs are
    discarded once the rest of the columns cannot lift them to the bound that their sizes set.
 3. Links leave a block product as a spanning forest, so a group of n near copies gives fewer than n rows a
    block pair and no list of pairs. Components of these links are those of all links.
+
+Sets are known by the number of one row that has them, not by a document's key: rows that repeat a key with other texts are sets of
+their own, tied to each other.
 """
 
 from __future__ import annotations
@@ -23,19 +26,20 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickledger.llm.common import give_back, stored
-from clickledger.llm.components import components
+from clickledger.llm.components import components, with_least
 
 _U64 = np.uint64
 #: Bounds of one block of a candidate group: sets, and elements of all of them.
-BLOCK_SETS = 1024
+BLOCK_SETS = 512
 BLOCK_ELEMENTS = 1_000_000
-#: Parts of a set that a signature is held against, and sets of a bucket that a task keeps.
-WINDOW = 48
-BUCKET_ROWS = 200_000
+#: Rows that one task of the block products should get.
+TASK_ROWS = 4096
+#: Sets of fewer elements, and their partners, are cut into elements.
+SMALL = 32
 #: Columns that a product multiplies at a time.
 COLUMNS = 2048
 #: Words that a task remembers hashes of.
@@ -78,7 +82,7 @@ class Shingler:
 
 
 class Classes:
-    """Size classes and their numbers of parts for a threshold of `percent` hundredths."""
+    """Size classes and their numbers of parts for a threshold of `percent` hundredths. A pair of sets meets in the class of its smaller one; class -1 are the small sets."""
 
     def __init__(self, percent: int):
         if not 0 < percent <= 100:
@@ -88,11 +92,11 @@ class Classes:
 
     @lru_cache(maxsize=None)  # noqa: B019
     def low(self, c: int) -> int:
-        return 1 if c == 0 else int(self.low(c - 1) * self.ratio) + 1
+        return 1 if c < 0 else SMALL if c == 0 else int(self.low(c - 1) * self.ratio) + 1
 
     @lru_cache(maxsize=None)  # noqa: B019
     def of(self, n: int) -> int:
-        c = 0
+        c = -1
         while self.low(c + 1) <= n:
             c += 1
         return c
@@ -120,167 +124,97 @@ class Classes:
 
     @lru_cache(maxsize=None)  # noqa: B019
     def roles(self, n: int) -> tuple[tuple[int, int, int], ...]:
-        """(class, parts, parts sure to be equal) of the classes in which a set of n elements can meet a partner."""
-        out, c = [], self.of(n)
+        """(class, parts, parts sure to be equal in both) of the classes in which a set of n elements can meet a partner. Class -1 has a part per element."""
+        out, c, least = [], self.of(n), -(-n * self.p // 100)  # least: size of the smallest partner, and of the smallest overlap
+        if c < 0:
+            if least < n or self.differ(n, n * 100 // self.p):
+                out.append((-1, n, least))
+            return tuple(out)
         if k := self.parts(c):
             out.append((c, k, k - self.differ(n, n * 100 // self.p)))
-        if c and -(-n * self.p // 100) < self.low(c) and (k := self.parts(c - 1)):
-            out.append((c - 1, k, k - self.differ(n, self.low(c) - 1)))
+        if least < self.low(c):
+            if c == 0:
+                out.append((-1, n, least))
+            elif k := self.parts(c - 1):
+                out.append((c - 1, k, k - self.differ(n, self.low(c) - 1)))
         return tuple(out)
 
 
-class Role:
-    """A set cut into parts for one class: part numbers and signatures of the parts that are not empty, signatures of the empty ones if they are needed, and how many parts of a window a partner must share."""
-
-    __slots__ = ("empty", "k", "need", "part", "sig", "width")
+def signatures(h: np.ndarray, classes: Classes) -> list[tuple[int, int, int, np.ndarray, np.ndarray]]:
+    """(class, parts sure to be equal, empty parts, signatures of the others, signatures of the empty ones) of a sorted set in each of its classes.
 
-    def __init__(self, h: np.ndarray, total: np.ndarray, c: int, k: int, sure: int):
+    The signatures of empty parts are given only where all sure parts could be empty ones.
+    """
+    out = []
+    none = np.zeros(0, _U64)
+    total = None
+    for c, k, sure in classes.roles(len(h)):
+        if c < 0:
+            out.append((c, sure, 0, _mix(h ^ _U64(0xA5A5A5A5A5A5A5A5)), none))
+            continue
+        if total is None:
+            with np.errstate(over="ignore"):
+                total = np.concatenate([np.zeros(1, _U64), np.cumsum(_mix(h))])
         part = ((h >> _U64(32)) * _U64(k)) >> _U64(32)
         first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
         last = np.append(first[1:], len(h))
-        self.k, self.part = k, part[first]
-        self.sig = _mix((total[last] - total[first]) ^ _mix(self.part + _U64(c * 0x100000001 + 1)))
-        full = sure - (k - len(first))  # parts with elements that are sure to be equal
-        self.empty = np.zeros(0, _U64)
-        if full < 1:
-            none = np.setdiff1d(np.arange(k, dtype=_U64), self.part)
-            self.empty = _mix(_mix(none + _U64(c * 0x100000001 + 1)))
-        # Of the equal parts that hold elements, one starts a cyclic window with at least their average share of it.
-        self.width = min(k, WINDOW)
-        self.need = max(1, -(-full * self.width // k))
-
-    def windows(self) -> np.ndarray:
-        """For each signature a byte per part that follows in the window: a hash of its content, 0 if it is empty; padded to WINDOW - 1."""
-        marks = np.zeros(self.k, np.uint8)
-        marks[self.part.astype(np.int64)] = self.sig % _U64(255) + _U64(1)
-        out = np.zeros((len(self.sig), WINDOW - 1), np.uint8)
-        out[:, : self.width - 1] = marks[(self.part.astype(np.int64)[:, None] + np.arange(1, self.width)) % self.k]
-        return out
-
-
-def roles(h: np.ndarray, classes: Classes) -> list[Role]:
-    if not len(h):
-        return []
-    with np.errstate(over="ignore"):
-        total = np.concatenate([np.zeros(1, _U64), np.cumsum(_mix(h))])
-        return [Role(h, total, *r) for r in classes.roles(len(h))]
-
-
-def signatures(h: np.ndarray, classes: Classes) -> np.ndarray:
-    """Signatures of the parts of a sorted set, int64."""
-    out = [x for r in roles(h, classes) for x in (r.sig, r.empty)]
-    return np.concatenate(out).view(np.int64) if out else np.zeros(0, np.int64)
-
-
-def bucket_ties(nodes: list[int], need: np.ndarray, windows: np.ndarray) -> list[tuple[int, int]]:
-    """Ties (node, first node of its tree) within a bucket of equal parts: of two sets that may link, the windows share at least as many parts as both need.
-
-    A walk: each set is held against those that no tree has reached yet, so a bucket of near copies costs one comparison per set.
-    """
-    out, left = [], np.arange(len(nodes))
-    while len(left) > 1:
-        root, left = left[0], left[1:]
-        todo = [root]
-        while todo and len(left):
-            x = todo.pop()
-            mine = windows[x]
-            held = mine != 0
-            shared = (windows[left][:, held] == mine[held]).sum(1) + 1
-            near = shared >= np.maximum(need[left], need[x])
-            todo += left[near].tolist()
-            out += [(nodes[i], nodes[root]) for i in left[near]]
-            left = left[~near]
+        with np.errstate(over="ignore"):
+            own = _mix((total[last] - total[first]) ^ _mix(part[first] + _U64(c * 0x100000001 + 1)))
+            empty = k - len(first)
+            absent = _mix(_mix(np.setdiff1d(np.arange(k, dtype=_U64), part[first]) + _U64(c * 0x100000001 + 1))) if empty >= sure else none
+        out.append((c, sure, empty, own, absent))
     return out
 
 
-def _ties():
-    """Rows (sig, node, need, window) sorted by sig -> (a, b)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sig, nodes, need, wins, found = None, [], [], [], []
-
-        def close() -> None:
-            if len(nodes) > 1:
-                found.extend(bucket_ties(nodes, np.array(need), np.frombuffer(b"".join(wins), np.uint8).reshape(len(nodes), -1)))
-
-        for b in batches:
-            for s, node, n, w in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
-                if s != sig:
-                    close()
-                    sig, nodes, need, wins = s, [], [], []
-                elif len(nodes) >= BUCKET_ROWS:  # a bucket beyond memory: all further sets are tied to its first, which loses nothing
-                    found.append((node, nodes[0]))
-                    continue
-                nodes.append(node)
-                need.append(n)
-                wins.append(w)
-            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], names=["a", "b"])
-            found.clear()
-        close()
-        yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], names=["a", "b"])
-
-    return run
-
-
-def candidate_ties(df: DataFrame, sets: DataFrame, key: str, text: str, n: int, percent: int) -> DataFrame:
-    """(a, b) between representatives that may link. sets: a stored shingle_sets()."""
-    reps = sets.where("n_shingles > 0 and node is not null").groupBy("h1", "h2", "n_shingles").agg(F.min("node").alias("node"))
-    signed = sets.where("size(sigs) > 0").join(reps.select("node"), "node", "left_semi").select("node", F.explode("sigs").alias("sig"))
-    shared = signed.withColumn("_n", F.count("*").over(Window.partitionBy("sig"))).where("_n > 1")
-    per_set = stored(shared.groupBy("node").agg(F.collect_set("sig").alias("sigs")), "shared-signatures")
-    texts = df.select(df[key].cast("bigint").alias("node"), df[text].alias("_text")).join(per_set, "node").select("node", "sigs", "_text")
-
-    def windowed(batches):
-        shingle, classes = Shingler(n), Classes(percent)
-        for b in batches:
-            sig, node, need, win = [], [], [], []
-            nodes, sigs = b.column(0).to_pylist(), b.column(1)
-            for i, x in enumerate(nodes):
-                wanted = np.array(sigs[i].values.to_numpy(), np.int64)
-                for r in roles(shingle(b.column(2)[i].as_py()), classes):
-                    own = r.sig.view(np.int64)
-                    at = np.flatnonzero(np.isin(own, wanted))
-                    if len(at):
-                        w = r.windows()[at]
-                        sig += own[at].tolist()
-                        node += [x] * len(at)
-                        need += [r.need] * len(at)
-                        win += [y.tobytes() for y in w]
-                    if len(r.empty):
-                        hit = r.empty.view(np.int64)
-                        hit = hit[np.isin(hit, wanted)]
-                        sig += hit.tolist()
-                        node += [x] * len(hit)
-                        need += [0] * len(hit)
-                        win += [bytes(WINDOW - 1)] * len(hit)
-            yield pa.RecordBatch.from_arrays([pa.array(sig, pa.int64()), pa.array(node, pa.int64()), pa.array(need, pa.int32()), pa.array(win, pa.binary())], names=["sig", "node", "need", "window"])
-            give_back()
-
-    rows = texts.mapInArrow(windowed, "sig bigint, node bigint, need int, window binary")
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.repartition(parts, "sig").sortWithinPartitions("sig").mapInArrow(_ties(), "a bigint, b bigint")
+_ROLES = "array<struct<role:int,sure:int,empty:int,sigs:array<bigint>,absent:array<bigint>>>"
 
 
 def shingle_sets(df: DataFrame, key: str, text: str, n: int, percent: int) -> DataFrame:
-    """(node, n_shingles, h1, h2, sigs): a text's set size, a 128-bit hash of the set and its signatures."""
+    """(doc, mark, n_shingles, h1, h2, roles): a row's key, a hash of its text, its set's size, a 128-bit hash of the set and its signatures by class."""
+    kind = df.schema[key].dataType.simpleString()
+    number = pa.list_(pa.int64())
+    role = pa.struct([("role", pa.int32()), ("sure", pa.int32()), ("empty", pa.int32()), ("sigs", number), ("absent", number)])
+
+    def lists(parts: list[np.ndarray]) -> pa.Array:
+        ends = np.cumsum([0, *map(len, parts)]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(parts).view(np.int64) if parts else np.zeros(0, np.int64)))
 
     def run(batches):
         shingle, classes = Shingler(n), Classes(percent)
         for b in batches:
-            size, h1, h2, sigs = [], [], [], []
-            for t in b.column(1):
+            size, h1, h2, ends, found = [], [], [], [0], []
+            for t in b.column(2):
                 s = shingle(t.as_py())
                 d = xxhash.xxh3_128_digest(s.tobytes())
                 size.append(len(s))
                 h1.append(int.from_bytes(d[:8], "little", signed=True))
                 h2.append(int.from_bytes(d[8:], "little", signed=True))
-                sigs.append(signatures(s, classes))
-            ends = np.cumsum([0, *map(len, sigs)]).astype(np.int32)
-            flat = np.concatenate(sigs) if sigs else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), pa.array(size, pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], names=["node", "n_shingles", "h1", "h2", "sigs"])
+                found += signatures(s, classes) if len(s) else []
+                ends.append(len(found))
+            flat = pa.StructArray.from_arrays([*(pa.array([x[i] for x in found], pa.int32()) for i in range(3)), lists([x[3] for x in found]), lists([x[4] for x in found])], fields=list(role))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(size, pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)], names=["doc", "mark", "n_shingles", "h1", "h2", "roles"])
             give_back()
 
-    return df.select(df[key], df[text]).mapInArrow(run, "node bigint, n_shingles bigint, h1 bigint, h2 bigint, sigs array<bigint>")
+    return df.select(df[key].alias("doc"), F.xxhash64(df[text]).alias("mark"), df[text].alias("_text")).mapInArrow(run, f"doc {kind}, mark bigint, n_shingles bigint, h1 bigint, h2 bigint, roles {_ROLES}")
+
+
+def set_nodes(sets: DataFrame) -> DataFrame:
+    """(h1, h2, n_shingles, doc, mark, node): one row per distinct set; node is the number of the row that stands for it, one with the smallest key. sets: a stored shingle_sets() with row numbers."""
+    known = sets.where("n_shingles > 0 and doc is not null")
+    return known.groupBy("h1", "h2", "n_shingles").agg(F.min(F.struct("doc", "row", "mark")).alias("s")).select("h1", "h2", "n_shingles", "s.doc", "s.mark", F.col("s.row").alias("node"))
+
+
+def candidate_ties(sets: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(a, b): ties between sets that may link, each set to the smallest one with which it keeps a signature in common."""
+    own = sets.where("size(roles) > 0").join(nodes.select("node"), sets["row"] == nodes["node"], "left_semi").select(F.col("row").alias("node"), F.explode("roles").alias("r")).select("node", "r.*")
+    signed = own.select("node", "role", "sure", "empty", F.explode("sigs").alias("sig"))
+    shared = signed.groupBy("sig").agg(F.count("*").alias("sets")).where("sets > 1")
+    # The global order is by frequency, then signature; signatures of one set come first, of empty parts last.
+    ordered = signed.join(shared, "sig").groupBy("node", "role", "sure", "empty").agg(F.array_sort(F.collect_list(F.struct("sets", "sig"))).alias("s"))
+    length = F.least(F.size("s") + F.col("empty") - F.col("sure") + 1, F.size("s"))
+    kept = ordered.where(length > 0).select(F.explode(F.slice("s", F.lit(1), length)).alias("k"), "node").select(F.col("k.sig").alias("a"), F.col("node").alias("b"))
+    absent = own.where("empty >= sure").select(F.explode(F.slice(F.array_sort("absent"), F.lit(1), F.col("empty") - F.col("sure") + 1)).alias("a"), F.col("node").alias("b"))
+    return with_least(kept.unionByName(absent)).select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
 
 
 def product_links(sets: list[np.ndarray], split: int, percent: int) -> list[tuple[int, int]]:
@@ -400,16 +334,15 @@ def _block_products(percent: int):
     return run
 
 
-def jaccard_links(df: DataFrame, sets: DataFrame, key: str, text: str, n: int, percent: int) -> DataFrame:
-    """(a, b): links between representatives of different sets, a spanning forest per block pair. sets: a stored shingle_sets()."""
+def jaccard_links(df: DataFrame, sets: DataFrame, nodes: DataFrame, key: str, text: str, n: int, percent: int) -> DataFrame:
+    """(a, b): links between different sets, a spanning forest per block pair."""
     spark = df.sparkSession
-    tied = components(candidate_ties(df, sets, key, text, n, percent))
+    tied = components(candidate_ties(sets, nodes))
     roots = tied.select(F.col("root").alias("node"), "root").distinct()
-    members = tied.union(roots).join(sets.groupBy("node").agg(F.max("n_shingles").alias("n")), "node")
-    dims = members.groupBy("root").agg(F.greatest(F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_ELEMENTS)).cast("int").alias("blocks"))
-    placed = members.join(dims, "root").select("node", "root", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("blk"))
-    placed = stored(placed, "placed-sets")
-    texts = df.select(df[key].cast("bigint").alias("node"), df[text].alias("_text")).join(placed, "node").select("root", "blocks", "blk", "node", "_text")
+    members = tied.union(roots).join(nodes.select("node", "doc", "mark", F.col("n_shingles").alias("n")), "node")
+    dims = members.groupBy("root").agg(F.count("*").alias("sets"), F.greatest(F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_ELEMENTS)).cast("int").alias("blocks"))
+    placed = stored(members.join(dims, "root").select("node", "doc", "mark", "root", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("blk")), "placed-sets")
+    texts = df.select(df[key].alias("doc"), F.xxhash64(df[text]).alias("mark"), df[text].alias("_text")).join(placed, ["doc", "mark"]).select("root", "blocks", "blk", "node", "_text")
 
     def shingled(batches):
         shingle = Shingler(n)
@@ -419,7 +352,8 @@ def jaccard_links(df: DataFrame, sets: DataFrame, key: str, text: str, n: int, p
 
     rows = texts.mapInArrow(shingled, "root bigint, blocks int, blk int, node bigint, elements binary")
     dealt = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("root", F.least("blk", "other").alias("bi"), F.greatest("blk", "other").alias("bj"), "blk", "node", "elements")
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    count = placed.agg(F.sum("blocks").cast("long")).first()[0] or 0
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-count // TASK_ROWS))
     grouped = dealt.repartition(parts, "root", "bi", "bj").sortWithinPartitions("root", "bi", "bj")
     return grouped.mapInArrow(_block_products(percent), "a bigint, b bigint")
 
@@ -429,17 +363,25 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", n: i
 
     Words are separated by ASCII white space, A-Z are lower-cased, a set holds the distinct n-word shingles; fewer words
     are one shingle. Sets link when 100 * intersection >= percent * union. Null, empty or wordless texts have no
-    shingles and link with nothing. A null key has a null component and links with nothing; rows that repeat
-    a key are one document for linking. An empty table gives no rows; other columns are not read. Shingles are compared by
+    shingles and link with nothing. A null key has a null component and links with nothing. Rows that repeat
+    a key are one document: each has its own n_shingles, what links with one of them links with the document, and all have its component. Keys are
+    of any type with an order. An empty table gives no rows; other columns are not read. Shingles are compared by
     64-bit and whole sets by 128-bit hashes.
     """
-    sets = stored(shingle_sets(df, key, text, n, percent), "shingle-sets")
-    linked = components(jaccard_links(df, sets, key, text, n, percent))
-    facts = sets.select("node", "n_shingles", "h1", "h2")
-    counted = facts.where("n_shingles > 0 and node is not null")
-    same = counted.groupBy("h1", "h2", "n_shingles").agg(F.min("node").alias("rep"))
-    comp = stored(same.join(linked, same["rep"] == linked["node"], "left").select("h1", "h2", "n_shingles", F.coalesce("root", "rep").alias("component_id")), "components")
-    joined = facts.join(comp.where("component_id is not null"), ["h1", "h2", "n_shingles"], "left")
-    alone = F.col("node").isNull() | (F.col("n_shingles") == 0)
-    kind = df.schema[key].dataType.simpleString()
-    return joined.select(F.col("node").cast(kind).alias(key), "n_shingles", F.when(alone, F.col("node")).otherwise(F.col("component_id")).cast(kind).alias("component_id"))
+    sets = stored(shingle_sets(df, key, text, n, percent).withColumn("row", F.monotonically_increasing_id()), "shingle-sets")
+    nodes = stored(set_nodes(sets), "set-nodes")
+    of_set = ["h1", "h2", "n_shingles"]
+    facts = sets.select("doc", *of_set)
+    known = facts.where("n_shingles > 0 and doc is not null")
+    # Documents of several sets: their sets are one.
+    several = known.groupBy("doc").agg(F.min(F.struct(*of_set)).alias("x"), F.max(F.struct(*of_set)).alias("y")).where("x <> y").select("doc")
+    own = known.join(several, "doc", "left_semi").distinct().join(nodes.select(*of_set, "node"), of_set)
+    same = own.join(own.groupBy("doc").agg(F.min("node").alias("first")), "doc").select(F.col("node").alias("a"), F.col("first").alias("b"))
+    linked = components(jaccard_links(df, sets, nodes, key, text, n, percent).union(same))
+    rooted = nodes.join(linked, "node", "left").select(*of_set, F.coalesce("root", "node").alias("a"), F.col("doc").alias("b"))
+    named = stored(with_least(rooted).select(*of_set, F.col("m").alias("component_id")), "components")
+    found = facts.join(named, of_set, "left").withColumn("component_id", F.when(F.col("doc").isNotNull() & (F.col("n_shingles") > 0), F.col("component_id")))
+    # A row without shingles has the component of its document's other rows, if there are any.
+    bare = found.where("n_shingles = 0 and doc is not null").select("doc")
+    others = known.join(bare, "doc", "left_semi").join(named, of_set).groupBy("doc").agg(F.min("component_id").alias("_other"))
+    return found.join(others, "doc", "left").select(F.col("doc").alias(key), "n_shingles", F.coalesce("component_id", "_other", "doc").alias("component_id"))

@@ -543,6 +543,42 @@ def test_near_duplicates(docs, rows, n, percent, monkeypatch):
             assert (got[r[0]]["n_shingles"], got[r[0]]["component_id"]) == (size[i], rows[tree[i]][0]), (i, block)
 
 
+def test_near_duplicates_of_repeated_keys_in_any_order(spark):
+    """A key's rows are one document, whatever the order of rows; its row without words has its component too."""
+    r = random.Random(4)
+    a, b, c = (" ".join(f"w{r.randrange(10**6)}" for _ in range(60)) for _ in range(3))
+    rows = [("k7", b), ("k7", a), ("k5", b), ("k9", a), ("k9", None), ("k8", c), ("k8", c), (None, c), ("k3", " ")]
+    want = sorted((k or "", {"k7": "k5", "k9": "k5"}.get(k, k)) for k, _ in rows)
+    for seed in range(3):
+        random.Random(seed).shuffle(rows)
+        out = ngram_join.near_duplicates(spark.createDataFrame(rows, "doc_id string, text string").repartition(2)).collect()
+        assert sorted((x["doc_id"] or "", x["component_id"]) for x in out) == want
+
+
+def test_signatures_of_linked_sets_meet():
+    """Of two sets that link, the signatures that prefix filtering keeps have one in common, for any order of them."""
+    r = np.random.default_rng(9)
+    for percent in (50, 80, 90):
+        classes = ngram_join.Classes(percent)
+        for n in [*range(1, 45), 60, 100, 250, 700]:
+            a = np.unique(r.integers(0, 2**64, n, np.uint64))
+            lost, more = int(r.integers(0, n // 3 + 1)), int(r.integers(0, n // 3 + 1))
+            b = np.unique(np.concatenate([a[lost:], r.integers(0, 2**64, more, np.uint64)]))
+            o = len(np.intersect1d(a, b))
+            if 100 * o < percent * (len(a) + len(b) - o) or np.array_equal(a, b):
+                continue
+            kept = []
+            for x in (a, b):
+                found = {}
+                for c, sure, empty, sigs, absent in ngram_join.signatures(x, classes):
+                    length = len(sigs) + empty - sure + 1
+                    assert length > len(sigs) or not len(absent)
+                    found |= {(c, int(y)) for y in np.sort(sigs)[: max(0, length)]}
+                    found |= {(c, int(y)) for y in np.sort(absent)[: max(0, empty - sure + 1)]} if empty >= sure else set()
+                kept.append(found)
+            assert kept[0] & kept[1], (percent, n, lost, more)
+
+
 def test_products_by_force():
     r = np.random.default_rng(6)
     for percent in (50, 80, 90):
