@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickledger.llm.common import give_back, stored
+from clickledger.llm.common import drop_stored, give_back, stored
 from clickledger.llm.components import components, with_least
 
 _U64 = np.uint64
@@ -205,16 +205,24 @@ def set_nodes(sets: DataFrame) -> DataFrame:
 
 
 def candidate_ties(sets: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(a, b): ties between sets that may link, each set to the smallest one with which it keeps a signature in common."""
-    own = sets.where("size(roles) > 0").join(nodes.select("node"), sets["row"] == nodes["node"], "left_semi").select(F.col("row").alias("node"), F.explode("roles").alias("r")).select("node", "r.*")
-    signed = own.select("node", "role", "sure", "empty", F.explode("sigs").alias("sig"))
+    """(a, b): ties between sets that may link, each set to the smallest one with which it keeps a signature in common.
+
+    Joins on tables that grow with the input are shuffled at any size.
+    """
+    mine = sets.where("size(roles) > 0").select("row", "roles").join(nodes.select(F.col("node").alias("row")).hint("merge"), "row", "left_semi")
+    # A set and one of its at most two classes in one number; spare: signatures beyond those that are sure to be equal.
+    own = mine.select(F.col("row"), F.posexplode("roles").alias("i", "r")).select((F.col("row") * 2 + F.col("i")).alias("as"), (F.col("r.empty") - F.col("r.sure")).alias("spare"), "r.sigs", "r.absent")
+    signed = own.select("as", "spare", F.explode("sigs").alias("sig"))
     shared = signed.groupBy("sig").agg(F.count("*").alias("sets")).where("sets > 1")
     # The global order is by frequency, then signature; signatures of one set come first, of empty parts last.
-    ordered = signed.join(shared, "sig").groupBy("node", "role", "sure", "empty").agg(F.array_sort(F.collect_list(F.struct("sets", "sig"))).alias("s"))
-    length = F.least(F.size("s") + F.col("empty") - F.col("sure") + 1, F.size("s"))
-    kept = ordered.where(length > 0).select(F.explode(F.slice("s", F.lit(1), length)).alias("k"), "node").select(F.col("k.sig").alias("a"), F.col("node").alias("b"))
-    absent = own.where("empty >= sure").select(F.explode(F.slice(F.array_sort("absent"), F.lit(1), F.col("empty") - F.col("sure") + 1)).alias("a"), F.col("node").alias("b"))
-    return with_least(kept.unionByName(absent)).select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+    ordered = signed.join(shared.hint("merge"), "sig").groupBy("as", "spare").agg(F.array_sort(F.collect_list(F.struct("sets", "sig"))).alias("s"))
+    length = F.least(F.size("s") + F.col("spare") + 1, F.size("s"))
+    kept = ordered.where(length > 0).select(F.explode(F.slice("s", F.lit(1), length)).alias("k"), "as").select(F.col("k.sig").alias("a"), "as")
+    absent = own.where("spare >= 0").select(F.explode(F.slice(F.array_sort("absent"), F.lit(1), F.col("spare") + 1)).alias("a"), "as")
+    met = stored(kept.unionByName(absent).select("a", F.shiftright("as", 1).alias("b")), "kept-signatures")
+    ties = stored(with_least(met).select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct(), "ties")
+    drop_stored(met)
+    return ties
 
 
 def product_links(sets: list[np.ndarray], split: int, percent: int) -> list[tuple[int, int]]:
@@ -342,7 +350,7 @@ def jaccard_links(df: DataFrame, sets: DataFrame, nodes: DataFrame, key: str, te
     members = tied.union(roots).join(nodes.select("node", "doc", "mark", F.col("n_shingles").alias("n")), "node")
     dims = members.groupBy("root").agg(F.count("*").alias("sets"), F.greatest(F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_ELEMENTS)).cast("int").alias("blocks"))
     placed = stored(members.join(dims, "root").select("node", "doc", "mark", "root", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("blk")), "placed-sets")
-    texts = df.select(df[key].alias("doc"), F.xxhash64(df[text]).alias("mark"), df[text].alias("_text")).join(placed, ["doc", "mark"]).select("root", "blocks", "blk", "node", "_text")
+    texts = df.select(df[key].alias("doc"), F.xxhash64(df[text]).alias("mark"), df[text].alias("_text")).join(placed.hint("merge"), ["doc", "mark"]).select("root", "blocks", "blk", "node", "_text")
 
     def shingled(batches):
         shingle = Shingler(n)
