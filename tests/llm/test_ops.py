@@ -255,6 +255,85 @@ def test_html_boilerplate_counts_over_the_whole_host(spark):
         assert {x["page_id"]: x["text"] for x in html_text.extract(df, pages=pages, **more).collect()} == want
 
 
+def unmarked_by_force(pages):
+    """The texts of pages (host, blocks) without marks, by sets of token tuples over whole hosts."""
+    out, run = [], html_text.RUN
+    for host, blocks in pages:
+        counted: dict = {}
+        for h, other in pages:
+            if h == host and other:
+                sign = max(other, key=len)
+                words = [w for t in other for w in t.split(" ")]
+                mine = {tuple(words[i : i + run]) for i in range(len(words) - run + 1)} | {(None, t) for t in other if len(t.split(" ")) < run}
+                first = next(o for g, o in pages if g == host and o and max(o, key=len) == sign)
+                if first is other:  # one page for all copies
+                    for x in mine:
+                        counted[x] = counted.get(x, 0) + 1
+        again = {x for x, n in counted.items() if n >= html_text.MIN_PAGES}
+        words, under = [w for t in blocks for w in t.split(" ")], set()
+        for i in range(len(words) - run + 1):
+            if tuple(words[i : i + run]) in again:
+                under |= set(range(i, i + run))
+        state, at = [], 0
+        for t in blocks:
+            ws = t.split(" ")
+            gone = [at + i in under for i in range(len(ws))]
+            left = None if sum(gone) >= html_text.COVERED * len(ws) else " ".join(w for w, g in zip(ws, gone, strict=True) if not g)
+            state.append((left, len(ws) < run and (None, t) in again))
+            at += len(ws)
+        weak = [left is None or short for left, short in state]
+        keep = []
+        for i, (left, _) in enumerate(state):
+            lo, hi = i, i
+            while lo > 0 and weak[lo - 1]:
+                lo -= 1
+            while hi + 1 < len(state) and weak[hi + 1]:
+                hi += 1
+            stretch = weak[i] and (lo == 0 or hi == len(state) - 1 or any(state[x][0] is None for x in range(lo, hi + 1)))
+            if left and not stretch:
+                keep.append(left)
+        out.append("\n".join(keep))
+    return out
+
+
+def test_html_unmarked_text_by_brute_force(spark):
+    r = random.Random(6)
+    word = lambda: f"w{r.randrange(5000)}"
+    notices = [" ".join(word() for _ in range(n)) for n in (3, 6, 20, 40)]
+    heading, license_text = "Introduction", " ".join(word() for _ in range(25))
+    pages = []
+    for host in ("http://a.example/", "http://b.example/", "http://c.example/"):
+        articles = []
+        for _ in range(40):
+            body = [" ".join(word() for _ in range(r.randint(5, 50))) for _ in range(r.randint(1, 5))]
+            if r.random() < 0.3:
+                body.insert(1, heading)
+            if r.random() < 0.2:
+                body[0] += " " + license_text + " " + word()
+            if articles and r.random() < 0.3:
+                body = r.choice(articles)  # a copy
+            articles.append(body)
+            pages.append((host, r.sample(notices, r.randint(0, 2)) + body + r.sample(notices, r.randint(0, 2))))
+    pages.append(("http://a.example/", []))
+    want = unmarked_by_force(pages)
+    rows = [(i, h + str(i), "".join(f"<p>{t}</p>" for t in blocks)) for i, (h, blocks) in enumerate(pages)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3, "page_id")
+    for n, more in ((7, {}), (400, {"group_runs": 50})):
+        got = {x["page_id"]: x["text"] for x in html_text.extract(df, pages=n, **more).collect()}
+        assert [got[i] for i in range(len(pages))] == want
+    assert any(license_text not in t and " ".join(b).count(license_text) for t, (_, b) in zip(want, pages, strict=True))
+    assert any(heading in t for t in want)
+
+
+def test_html_menus_and_long_pages(spark):
+    menu = "<div>" + "".join(f"<div><a href='/{i}'>topic {i}</a></div>" for i in range(5)) + "</div>"
+    long = " ".join(f"word{i}" for i in range(200_000))
+    rows = [(1, "http://x/1", f"{menu}<p>One <a href='/y'>link</a> in a sentence.</p><p>{long}</p>"), (1, "http://x/1", "<p>same key</p>"), (2, "http://x/2", "<article>" + f"<p>{long}</p>" * 3 + "</article>")]
+    df = spark.createDataFrame([r + ("a", "b") for r in rows], "page_id long, url string, html string, text string, _host string")
+    got = sorted((x["page_id"], x["text"]) for x in html_text.extract(df).collect())
+    assert got == sorted([(1, f"One link in a sentence.\n{long}"), (1, "same key"), (2, "\n".join([long] * 3))])
+
+
 def test_repeated_positions_by_brute_force():
     r = np.random.default_rng(3)
     for _ in range(30):
@@ -268,7 +347,7 @@ def test_repeated_positions_by_brute_force():
         for i in range(77):
             if page[i] == page[i + 3] and len(grams[tuple(stream[i : i + 4])]) >= 3:
                 want[i : i + 4] = True
-        assert (html_text.repeated_positions(stream, page) == want).all()
+        assert (html_text.repeated_positions(stream, page, run=4) == want).all()
 
 
 def test_html_text_is_decoded_once(spark):
