@@ -2,15 +2,15 @@
 
 Pass 1 hashes every line key to 128 bits and keeps, per hash found in two documents or more, the
 number of documents and the smallest id. These hashes are dealt to shards; each shard becomes a
-minimal perfect hash with compact arrays of fingerprints, counts and keepers, written as one
-row of an index table in the shared folder. Pass 2 reads the documents again: a task hashes
-the lines of a batch and probes shard after shard. No line is ever joined with a line.
+minimal perfect hash with compact arrays of fingerprints, counts and keepers, one row of an index table in the
+shared folder. The hashes of pass 1 are then dealt to the shards, and each probes the arrays: a task reads its shard once, however
+large the index is, and a shard that very many lines probe is read by several tasks, each with a slice of them. No line is ever joined with a
+line. Pass 2 cuts the texts of the documents that have hits; all reading and writing is Spark's own.
 """
 
 from __future__ import annotations
 
 import io
-from collections import OrderedDict
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,13 +20,14 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from clickledger.llm.common import ASCII_SPACE, give_back, new_path, stored
+from clickledger.llm.common import ASCII_SPACE, drop_stored, give_back, stored
 
 #: Keys per shard: bounds the memory that building or probing one shard takes (about 13 MB).
 SHARD_KEYS = 500_000
-#: Bytes of shards that a task keeps, before it drops the ones used longest ago.
-SHARD_CACHE = 96 << 20
+#: Probes that one task takes to a shard.
+SLICE_PROBES = 500_000
 _LEVELS = 40
 _U64 = np.uint64
 
@@ -134,33 +135,40 @@ def _hashes(lines: pa.Array, min_chars: int) -> tuple[np.ndarray, np.ndarray, np
     return at, both[:, 0].copy(), both[:, 1].copy()
 
 
-def repeated_lines(df: DataFrame, key: str, text: str, min_chars: int) -> DataFrame:
-    """(h1, h2, n_docs, keeper) of the line keys that stand in at least two documents."""
+def line_keys(df: DataFrame, key: str, text: str, min_chars: int) -> DataFrame:
+    """(h1, h2, doc): the line keys of each document that has a key, those that stand twice in a batch's document once."""
+    kind = df.schema[key].dataType.simpleString()
 
     def run(batches):
         for b in batches:
-            ids = b.column(0).cast(pa.int64())
             lines, parent = _lines(b.column(1))
             at, h1, h2 = _hashes(lines, min_chars)
             row = parent[at]
-            known = ~ids.is_null().to_numpy(zero_copy_only=False)[row]
-            doc = ids.fill_null(0).to_numpy(zero_copy_only=False)[row]
-            h1, h2, doc = h1[known], h2[known], doc[known]
-            order = np.lexsort((doc, h2, h1))
-            h1, h2, doc = h1[order], h2[order], doc[order]
+            known = b.column(0).is_valid().to_numpy(zero_copy_only=False)[row]
+            h1, h2, row = h1[known], h2[known], row[known]
+            order = np.lexsort((h2, h1, row))
+            h1, h2, row = h1[order], h2[order], row[order]
             first = np.ones(len(h1), bool)
-            first[1:] = (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1]) | (doc[1:] != doc[:-1])
-            yield pa.RecordBatch.from_arrays([pa.array(h1[first].view(np.int64)), pa.array(h2[first].view(np.int64)), pa.array(doc[first])], names=["h1", "h2", "doc"])
+            first[1:] = (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1]) | (row[1:] != row[:-1])
+            yield pa.RecordBatch.from_arrays([pa.array(h1[first].view(np.int64)), pa.array(h2[first].view(np.int64)), b.column(0).take(pa.array(row[first]))], names=["h1", "h2", "doc"])
             give_back()
 
-    seen = df.select(df[key], df[text]).mapInArrow(run, "h1 bigint, h2 bigint, doc bigint")
-    per = seen.groupBy("h1", "h2").agg(F.count("*").alias("n_docs"), F.min("doc").alias("keeper"), F.max("doc").alias("_last"))
-    return per.where("keeper <> _last").drop("_last")
+    return df.select(df[key], df[text]).mapInArrow(run, f"h1 bigint, h2 bigint, doc {kind}")
 
 
-def build_index(repeated: DataFrame, shard_keys: int = SHARD_KEYS) -> tuple[str, int]:
-    """Write the index of a stored repeated_lines() table: its path and number of shards."""
-    spark = repeated.sparkSession
+def _mark(doc: str, kind: T.DataType) -> F.Column:
+    """A number for a key: itself, or its hash where it is no number."""
+    return F.col(doc).cast("bigint") if isinstance(kind, T.IntegralType) else F.xxhash64(doc)
+
+
+def repeated_lines(seen: DataFrame) -> DataFrame:
+    """(h1, h2, n_docs, keeper) of the line keys that stand in at least two documents; keeper: the mark of the smallest. n_docs may count a document's rows."""
+    per = seen.groupBy("h1", "h2").agg(F.count("*").alias("n_docs"), F.min("doc").alias("_first"), F.max("doc").alias("_last"))
+    return per.where("_first <> _last").select("h1", "h2", "n_docs", _mark("_first", seen.schema["doc"].dataType).alias("keeper"))
+
+
+def build_index(repeated: DataFrame, shard_keys: int = SHARD_KEYS) -> tuple[DataFrame, int]:
+    """The index of a stored repeated_lines() table, (shard, payload), and its number of shards."""
     shards = max(1, -(-repeated.count() // shard_keys))
 
     def one(part: pd.DataFrame) -> pd.DataFrame:
@@ -168,84 +176,79 @@ def build_index(repeated: DataFrame, shard_keys: int = SHARD_KEYS) -> tuple[str,
         s = Shard.build(h1, h2, part["n_docs"].to_numpy(np.int64), part["keeper"].to_numpy(np.int64))
         return pd.DataFrame({"shard": [int(part["shard"].iloc[0])], "payload": [s.dump()]})
 
-    path = new_path(spark, "line-index")
     dealt = repeated.withColumn("shard", F.pmod(F.col("h1"), F.lit(shards)))
-    dealt.groupBy("shard").applyInPandas(one, "shard bigint, payload binary").write.partitionBy("shard").parquet(path)
-    return path, shards
-
+    return stored(dealt.groupBy("shard").applyInPandas(one, "shard bigint, payload binary"), "line-index"), shards
 
-class Index:
-    """The shards of an index, read from the shared folder one by one and kept within SHARD_CACHE bytes."""
 
-    def __init__(self, path: str, shards: int):
-        from pyarrow import fs
+def probe(seen: DataFrame, index: DataFrame, shards: int, slice_probes: int = SLICE_PROBES) -> DataFrame:
+    """(doc, h1, h2) of the lines to drop: those whose key another document keeps."""
+    kind = seen.schema["doc"].dataType
+    homed = seen.withColumn("shard", F.pmod(F.col("h1"), F.lit(shards)))
+    slices = homed.groupBy("shard").agg(F.ceil(F.count("*") / slice_probes).cast("int").alias("slices"))
+    asked = homed.join(slices, "shard").select("shard", F.pmod(F.xxhash64("doc"), F.col("slices")).cast("int").alias("slice"), "h1", "h2", "doc", _mark("doc", kind).alias("mark"))
+    told = index.join(slices, "shard").select("shard", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"), "payload")
 
-        self.fs, self.root = fs.FileSystem.from_uri(path)
-        self.shards, self.cache, self.held = shards, OrderedDict(), 0
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, shard = None, None
+        for b in batches:
+            places = list(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True))
+            ends = [i for i in range(1, len(places)) if places[i] != places[i - 1]]
+            for x, y in zip([0, *ends], [*ends, len(places)], strict=True):
+                if places[x] != now:
+                    now, shard = places[x], None
+                if b.column(6)[x].is_valid:  # a shard comes before its probes
+                    shard, x = Shard.load(b.column(6)[x].as_py()), x + 1
+                if shard is not None and x < y:
+                    h1, h2 = (b.column(i).slice(x, y - x).to_numpy(zero_copy_only=False).view(_U64) for i in (2, 3))
+                    found, keep = shard.keepers(h1, h2)
+                    hit = pa.array(np.flatnonzero(found & (keep != b.column(5).slice(x, y - x).to_numpy(zero_copy_only=False))) + x)
+                    yield pa.RecordBatch.from_arrays([b.column(i).take(hit) for i in (4, 2, 3)], names=["doc", "h1", "h2"])
+            give_back()
 
-    def shard(self, i: int) -> Shard | None:
-        if i not in self.cache:
-            import pyarrow.parquet as pq
-            from pyarrow import fs
+    both = asked.unionByName(told, allowMissingColumns=True).repartition("shard", "slice").sortWithinPartitions("shard", "slice", F.col("payload").isNull())
+    return both.mapInArrow(run, f"doc {kind.simpleString()}, h1 bigint, h2 bigint")
 
-            files = [f for f in self.fs.get_file_info(fs.FileSelector(f"{self.root}/shard={i}", allow_not_found=True)) if f.path.endswith(".parquet")]
-            data = None
-            for f in files:
-                with self.fs.open_input_file(f.path) as source:
-                    data = pq.ParquetFile(source).read(columns=["payload"]).column(0)[0].as_py()
-            self.cache[i] = (Shard.load(data) if data else None, len(data or b""))
-            self.held += self.cache[i][1]
-            while self.held > SHARD_CACHE and len(self.cache) > 1:
-                self.held -= self.cache.popitem(last=False)[1][1]
-        self.cache.move_to_end(i)
-        return self.cache[i][0]
 
-    def keepers(self, h1: np.ndarray, h2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        found, keep = np.zeros(len(h1), bool), np.zeros(len(h1), np.int64)
-        home = np.mod(h1.view(np.int64), self.shards)
-        order = np.argsort(home, kind="stable")
-        ends = np.searchsorted(home[order], np.arange(self.shards + 1))
-        for i in range(self.shards):
-            at = order[ends[i] : ends[i + 1]]
-            if len(at) and (s := self.shard(i)) is not None:
-                found[at], keep[at] = s.keepers(h1[at], h2[at])
-        return found, keep
-
-
-def dedup_lines(df: DataFrame, key: str = "doc_id", text: str = "text", min_chars: int = 10, shard_keys: int = SHARD_KEYS) -> DataFrame:
+def dedup_lines(df: DataFrame, key: str = "doc_id", text: str = "text", min_chars: int = 10, shard_keys: int = SHARD_KEYS, slice_probes: int = SLICE_PROBES) -> DataFrame:
     """All columns of df with the text cut down to the lines that stay, plus n_lines and n_dropped.
 
     A line's key is the line stripped of ASCII white space and A-Z lower-cased. A key of at least min_chars code
     points in two documents or more stays only in the document of the smallest key, with all its lines there.
     A null or empty text is one empty line and comes back empty. Rows with a null key take no part: they keep
-    all lines. Rows that repeat a key are one document. An empty table gives no rows. Input columns named
-    n_lines or n_dropped are replaced.
+    all lines. Rows that repeat a key are one document. Keys are of any type with an order; such that are no whole numbers are compared by 64-bit hashes. An
+    empty table gives no rows. Input columns named n_lines or n_dropped are replaced.
     """
-    path, shards = build_index(stored(repeated_lines(df, key, text, min_chars), "repeated-lines"), shard_keys)
-    plain = df.drop("n_lines", "n_dropped")
-    at_key, at_text = plain.columns.index(key), plain.columns.index(text)
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema.fields]
-    schema = ", ".join([*fields, "n_lines bigint", "n_dropped bigint"])
+    seen = stored(line_keys(df, key, text, min_chars), "line-keys")
+    repeated = stored(repeated_lines(seen), "repeated-lines")
+    index, shards = build_index(repeated, shard_keys)
+    hits = probe(seen, index, shards, slice_probes).groupBy("doc").agg(F.collect_set(F.struct("h1", "h2")).alias("_hits"))
+    hits = stored(hits.select(F.col("doc").alias("_doc"), F.transform("_hits", lambda x: x["h1"]).alias("_h1"), F.transform("_hits", lambda x: x["h2"]).alias("_h2")), "line-hits")
+    for done in (seen, repeated, index):
+        drop_stored(done)
+    names = [c for c in df.columns if c.lower() not in ("n_lines", "n_dropped")]
+    # The input's columns travel as one struct, so no name of theirs meets one of ours.
+    rows = df.select(F.struct(*[df[c] for c in names if c != text]).alias("_row"), df[key].alias("_key"), df[text].alias("_text"))
+    answered = rows.join(hits, rows["_key"] == hits["_doc"], "left").select("_row", "_text", "_h1", "_h2")
+    row_type, body = answered.schema["_row"].dataType.simpleString(), answered.schema["_text"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = Index(path, shards)
         for b in batches:
-            ids = b.column(at_key).cast(pa.int64())
-            lines, parent = _lines(b.column(at_text))
-            at, h1, h2 = _hashes(lines, min_chars)
-            found, keep = index.keepers(h1, h2)
-            row = parent[at]
-            drop = found & (keep != ids.fill_null(0).to_numpy(zero_copy_only=False)[row]) & ~ids.is_null().to_numpy(zero_copy_only=False)[row]
-            stays = np.ones(len(lines), bool)
-            stays[at[drop]] = False
+            lines, parent = _lines(b.column(1))
             total = np.bincount(parent, minlength=len(b))
-            gone = np.bincount(row[drop], minlength=len(b))
-            kept = lines.filter(pa.array(stays))
-            offsets = np.concatenate([[0], np.cumsum(total - gone)]).astype(np.int64)
-            texts = pc.binary_join(pa.LargeListArray.from_arrays(pa.array(offsets), kept), pa.scalar("\n", pa.large_string()))
-            cols = list(b.columns)
-            cols[at_text] = texts.cast(b.schema.field(at_text).type)
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(total.astype(np.int64)), pa.array(gone.astype(np.int64))], names=[*b.schema.names, "n_lines", "n_dropped"])
+            drop = np.zeros(len(lines), bool)
+            asked = np.flatnonzero(b.column(2).is_valid().to_numpy(zero_copy_only=False)[parent])
+            if len(asked):
+                at, h1, h2 = _hashes(lines.take(pa.array(asked)), min_chars)
+                row = parent[asked[at]]
+                size = pc.fill_null(pc.list_value_length(b.column(2)), 0).to_numpy(zero_copy_only=False)
+                gone = {(int(i), int(x), int(y)) for i, x, y in zip(np.repeat(np.arange(len(b)), size), b.column(2).flatten().to_numpy(), b.column(3).flatten().to_numpy(), strict=True)}
+                out = [(i, x, y) in gone for i, x, y in zip(row.tolist(), h1.view(np.int64).tolist(), h2.view(np.int64).tolist(), strict=True)]
+                drop[asked[at]] = out
+            dropped = np.bincount(parent[drop], minlength=len(b))
+            offsets = np.concatenate([[0], np.cumsum(total - dropped)]).astype(np.int64)
+            texts = pc.binary_join(pa.LargeListArray.from_arrays(pa.array(offsets), lines.filter(pa.array(~drop))), pa.scalar("\n", pa.large_string()))
+            yield pa.RecordBatch.from_arrays([b.column(0), texts.cast(pa.string()), pa.array(total.astype(np.int64)), pa.array(dropped.astype(np.int64))], names=["_row", "_text", "n_lines", "n_dropped"])
             give_back()
 
-    return plain.mapInArrow(run, schema)
+    cut = answered.mapInArrow(run, f"_row {row_type}, _text {body}, n_lines bigint, n_dropped bigint")
+    return cut.select(*[F.col("_text").alias(c) if c == text else F.col(f"_row.`{c}`") for c in names], "n_lines", "n_dropped")

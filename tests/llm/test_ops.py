@@ -105,14 +105,20 @@ def test_line_dedup(docs, rows):
         for x in (t or "").split("\n"):
             if len(key(x)) >= 10:
                 holders.setdefault(key(x), set()).add(k)
-    for shard_keys in (500_000, 2):
-        got = {r["doc_id"]: r for r in line_dedup.dedup_lines(docs, shard_keys=shard_keys).collect()}
+    for shard_keys, slice_probes in ((500_000, 500_000), (2, 500_000), (1, 3)):  # the last two: about a hundred shards, read in slices
+        got = {r["doc_id"]: r for r in line_dedup.dedup_lines(docs, shard_keys=shard_keys, slice_probes=slice_probes).collect()}
         for k, t, *_ in rows:
             lines = (t or "").split("\n")
             kept = [x for x in lines if len(holders.get(key(x), ())) < 2 or min(holders[key(x)]) == k]
             assert (got[k]["n_lines"], got[k]["n_dropped"], got[k]["text"]) == (len(lines), len(lines) - len(kept), "\n".join(kept))
 
 
+def test_line_dedup_of_text_keys(spark):
+    rows = [("b", "a line of ten\nx"), ("a", "other\nA line of ten "), ("a", "a line of ten"), (None, "a line of ten")]
+    got = sorted((r["id"] or "", r["text"], r["n_dropped"]) for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "id string, text string"), key="id").collect())
+    assert got == [("", "a line of ten", 0), ("a", "a line of ten", 0), ("a", "other\nA line of ten ", 0), ("b", "x", 1)]
+
+
 def test_perfect_hash():
     r = np.random.default_rng(1)
     for n in (0, 1, 2, 1000, 50_000):
