@@ -372,17 +372,23 @@ def test_sharding(docs, rows):
     assert (out.set_index("doc_id").shard.loc[half.index] == half).all()
 
 
-def test_sharding_stores_a_map_rebalanced_by_bytes(spark, monkeypatch):
-    tables, real = {}, sharding.stored
-    monkeypatch.setattr(sharding, "stored", lambda df, name: tables.setdefault(name, real(df, name)))
+def test_slot_maps_are_versions_that_edits_append(spark, tmp_path):
+    maps = sharding.SlotMaps(spark, f"file://{tmp_path}/maps")
     docs = spark.range(4000).selectExpr("id AS doc_id", "repeat('x', IF(id < 12, 9000, 40)) AS text")
-    out = sharding.assign_shards(docs, shards=4).toPandas()
-    stored = tables["slot-map"].toPandas()
-    assert set(stored.version) == {4, 5, sharding.BALANCED} and (stored.groupby("version").n_rows.sum() == 4000).all()
-    load = stored.groupby(["version", "shard"]).n_bytes.sum()
-    assert load[4].max() > load[4].mean() * 1.02 >= load[sharding.BALANCED].max()
-    now = dict(stored[stored.version == 4][["virtual_slot", "shard"]].values)
-    assert all(now[a] == b for a, b in zip(out.virtual_slot, out.shard, strict=True))
+    out = sharding.assign_shards(docs, shards=4, maps=maps).toPandas()
+    stored = maps.table().toPandas()
+    assert maps.versions() == [1, 2, 3] and (stored.groupby("version").size() == sharding.SLOTS).all()
+    assert {v: (e, n) for v, e, n in stored[["version", "edit", "shards"]].drop_duplicates().values} == {1: ("even", 4), 2: ("grown", 5), 3: ("bytes", 4)}
+    size = out.groupby("virtual_slot")["size"].sum()
+    at = stored.set_index(["version", "virtual_slot"]).shard
+    load = {v: size.groupby(at[v].loc[size.index]).sum() for v in (1, 3)}
+    assert load[1].max() > load[1].mean() * 1.02 >= load[3].max()
+    assert all(at[1][v] == s for v, s in zip(out.virtual_slot, out.shard, strict=True)) and all(at[2][v] == s for v, s in zip(out.virtual_slot, out.grown_shard, strict=True))
+    # Another call places by the same versions and edits the newest one again: in balance already, it moves nothing.
+    again = sharding.assign_shards(docs, shards=4, maps=maps).toPandas()
+    assert maps.versions() == [1, 2, 3, 4] and sorted(map(tuple, again.values)) == sorted(map(tuple, out.values))
+    now = maps.table().toPandas().set_index(["version", "virtual_slot"]).shard
+    assert (now[4].sort_index() == now[3].sort_index()).all()
 
 
 def test_slot_maps():
@@ -684,9 +690,10 @@ def test_products_by_force():
 def test_components(spark):
     r = random.Random(2)
     links = [(r.randrange(300), r.randrange(300)) for _ in range(200)] + [(300 + i, 301 + i) for i in range(60)] + [(500, x) for x in range(501, 560)]
-    got = {x["node"]: x["root"] for x in components(spark.createDataFrame(links, "a long, b long")).collect()}
     tree = trees(600, links)
-    assert [got.get(i, i) for i in range(600)] == tree
+    for few in (0, 150, 10**6):
+        got = {x["node"]: x["root"] for x in components(spark.createDataFrame(links, "a long, b long"), few=few).collect()}
+        assert [got.get(i, i) for i in range(600)] == tree
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
