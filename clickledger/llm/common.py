@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +14,8 @@ from pyspark.sql import functions as F
 ASCII_SPACE = " \t\n\x0b\f\r"
 
 _fallback_dir: list[str] = []
+#: The tables stored in the innermost temporary() block, if there is one.
+_scratch: list[list[str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -33,16 +37,40 @@ def new_path(spark: SparkSession, name: str) -> str:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write df to the shared folder and read it back: the lineage ends at a durable table."""
     path = new_path(df.sparkSession, name)
+    if _scratch:
+        _scratch[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def drop_stored(df: DataFrame) -> None:
     """Delete the files behind a table made by stored() that nothing reads any more."""
-    spark = df.sparkSession
     for f in {x.rpartition("/")[0] for x in df.inputFiles()}:
-        path = spark._jvm.org.apache.hadoop.fs.Path(f)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(df.sparkSession, f)
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """Tables stored in the block are deleted at its end. What is made of them must have been written by then, outside of it or with kept()."""
+    _scratch.append([])
+    try:
+        yield
+    finally:
+        for path in _scratch.pop():
+            _delete(spark, path)
+
+
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """stored(), but the table outlives the temporary() block."""
+    out = stored(df, name)
+    if _scratch:
+        _scratch[-1].pop()
+    return out
 
 
 def give_back() -> None:

@@ -122,5 +122,48 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 """
 
 
+#: Components of links(a, b) over nodes(node): (node, root).
+_COMPONENTS = """both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(a, b) AS (SELECT a, b FROM both_ways UNION SELECT r.a, s.b FROM reach r JOIN both_ways s ON r.b = s.a),
+rooted AS (SELECT node, least(node, coalesce(min(b), node)) AS root FROM nodes LEFT JOIN reach ON node = a GROUP BY node)"""
+
+_OP5 = f"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y ON x.label = y.label AND x.vec_id < y.vec_id AND len(x.e) = len(y.e) WHERE list_dot_product(x.e, y.e) / sqrt(list_dot_product(x.e, x.e)) / sqrt(list_dot_product(y.e, y.e)) >= 0.93
+), nodes AS (SELECT vec_id AS node FROM embeddings), {_COMPONENTS},
+degree AS (SELECT a, count(*) AS n FROM both_ways GROUP BY a)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, root AS component_id, vec_id = root AS kept FROM embeddings JOIN rooted ON vec_id = node LEFT JOIN degree ON vec_id = a
+"""
+
+#: The checksum byte by byte, over a table of its 256 remainders.
+_OP7 = """
+WITH crc AS (SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(CAST(i AS BIGINT), CAST(range(8) AS BIGINT[])), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS tab),
+maps AS (SELECT [{now}] AS now, [{grown}] AS grown),
+slots AS (
+  SELECT doc_id, CAST(strlen(coalesce(text, '')) + 1 AS BIGINT) AS size, CAST(CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8) AS BIGINT) % 4096 AS INTEGER) AS virtual_slot,
+    xor(list_reduce(list_prepend(4294967295, list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: CAST('0x' || h AS BIGINT))), lambda c, b: xor(c // 256, tab[xor(c % 256, b) + 1])), 4294967295) AS text_crc32
+  FROM documents, crc
+), placed AS (SELECT *, CAST(now[virtual_slot + 1] AS INTEGER) AS shard, CAST(grown[virtual_slot + 1] AS INTEGER) AS grown_shard FROM slots, maps)
+SELECT doc_id, size, text_crc32, 'key' AS law, shard, row_number() OVER (PARTITION BY shard ORDER BY virtual_slot, doc_id, text_crc32, size) - 1 AS slot, grown_shard, virtual_slot FROM placed
+"""
+
+_OP10 = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^{_WS}]+') AS ws FROM documents
+), s AS (
+  SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')] ELSE list_distinct(list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])) END AS g FROM w
+), x AS (SELECT doc_id, unnest(g) AS t FROM s), n AS (SELECT doc_id, CAST(len(g) AS BIGINT) AS n FROM s),
+pairs AS (SELECT p.doc_id AS a, q.doc_id AS b, count(*) AS o FROM x p JOIN x q ON p.t = q.t AND p.doc_id < q.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM pairs JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * o >= 90 * (p.n + q.n - o)),
+nodes AS (SELECT doc_id AS node FROM documents), {_COMPONENTS}
+SELECT doc_id, n AS n_shingles, root AS component_id FROM n JOIN rooted ON doc_id = node
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_line_dedup": _OP2, "op4_poisson_mixing": _OP4, "op8_quality_cascade": _OP8}
+    maps = {name: ", ".join(map(str, sharding.slot_map(n))) for name, n in (("now", 16), ("grown", 17))}
+    op7 = _OP7.replace("{now}", maps["now"]).replace("{grown}", maps["grown"])
+    return {"op2_line_dedup": _OP2, "op4_poisson_mixing": _OP4, "op5_embedding_grid_join": _OP5, "op7_virtual_slots": op7, "op8_quality_cascade": _OP8, "op10_ngram_jaccard": _OP10}
