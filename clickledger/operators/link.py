@@ -45,8 +45,8 @@ def link_conversions(clean: DataFrame, clicks: DataFrame, rules: Rules) -> DataF
     codes = ("CLICK_NOT_FOUND", "IDENTITY_MISMATCH", "CAMPAIGN_MISMATCH", "CLICK_AFTER_CONVERSION", "ATTRIBUTION_WINDOW_EXCEEDED", "MATCHED")
     reasoned = joined.withColumn("reason", _ladder("_found", "", codes, rules.attribution_window_ms))
     matched = F.col("reason") == "MATCHED"
-    # Conversions of one click are already together after the join; those without a match are kept apart by receipt.
-    per_click = Window.partitionBy("advertiser_id", "app_id", "click_id").orderBy(F.when(matched, 0).otherwise(1), "ordinal")
+    # Those without a match are kept apart by receipt, so that one missing click id gathers nothing.
+    per_click = Window.partitionBy("advertiser_id", "app_id", F.when(matched, F.col("click_id")), F.when(~matched, F.col("_receipt_id"))).orderBy("ordinal")
     return reasoned.select(
         *clean.columns,
         "reason",

@@ -2,43 +2,61 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickledger.functions.contracts import COUNTERS, Rules
+from clickledger.functions.json import at_least_zero
 
 ROLLUP = ("cohort_basis", "variant", "currency", "campaign_id", "region", "app_version")
 #: More groups than this are an error: the snapshots that hold them are bounded documents.
 MAX_GROUPS, MAX_SERIES = 1000, 10_000
 
 
-def exact_quantile(values: Column, q: float) -> Column:
-    """The element at floor(q * n) of the sorted values (the last at most)."""
-    ordered = F.array_sort(F.collect_list(values))
-    return F.get(ordered, F.least(F.floor(F.size(ordered) * F.lit(q)).cast("int"), F.size(ordered) - 1))
+#: Values of the coarse step of a quantile: so many lie in one bucket.
+BUCKET = 1000
 
 
 def rank_quantile(df: DataFrame, value: str, q: float) -> DataFrame:
-    """The same element for any number of rows, without gathering them: counts per value, then a running sum over the distinct values by range."""
-    per = df.where(F.col(value).isNotNull()).groupBy(value).agg(F.count("*").alias("_n"))
-    total = per.agg(F.sum("_n").alias("n")).first()["n"] or 0
-    at = min(int(q * total), total - 1)
-    low, high = None, None
-    while True:  # narrow to one value by halving the range of values: each step is one aggregate
-        part = per if low is None else per.where((F.col(value) >= low) & (F.col(value) <= high))
-        r = part.agg(F.min(value).alias("lo"), F.max(value).alias("hi")).first()
-        if r["lo"] is None or r["lo"] == r["hi"]:
-            return per.where(F.col(value) == r["lo"]).select(F.col(value).alias("quantile")) if total else per.select(F.col(value).alias("quantile")).limit(0)
-        middle = (r["lo"] + r["hi"]) // 2
-        below = per.where(F.col(value) <= middle).agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n")).first()["n"]
-        low, high = (r["lo"], middle) if at < below else (middle + 1, r["hi"])
+    """(n, quantile, largest): the element at floor(q * n) of the sorted whole numbers, the last at most; one row, nulls if there are none.
+
+    Counts per value, then a running sum over buckets of BUCKET values, then one over the values of the bucket that holds the rank: no task sees
+    more than the distinct buckets or BUCKET values.
+    """
+    per = df.where(F.col(value).isNotNull()).groupBy(F.col(value).cast("bigint").alias("v")).agg(F.count("*").alias("c"))
+    bucketed = per.withColumn("b", F.floor(F.col("v") / BUCKET))
+    before = lambda by: F.coalesce(F.sum("c").over(Window.orderBy(by).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    buckets = bucketed.groupBy("b").agg(F.sum("c").alias("c"), F.max("v").alias("top"))
+    ranked = buckets.select("b", "c", before("b").alias("under"), F.sum("c").over(Window.partitionBy()).alias("n"), F.max("top").over(Window.partitionBy()).alias("largest"))
+    rank = F.least(F.floor(F.col("n") * F.lit(q)), F.col("n") - 1)
+    home = ranked.where((F.col("under") <= rank) & (rank < F.col("under") + F.col("c"))).select("b", (rank - F.col("under")).alias("rest"), "n", "largest")
+    inside = bucketed.join(F.broadcast(home), "b").withColumn("under", before("v"))  # home is one row
+    found = inside.where((F.col("under") <= F.col("rest")) & (F.col("rest") < F.col("under") + F.col("c")))
+    return found.agg(F.coalesce(F.max("n"), F.lit(0)).alias("n"), F.max("v").alias("quantile"), F.max("largest").alias("largest"))
+
+
+def median(df: DataFrame, value: str) -> DataFrame:
+    """(median) of a measurement's repeats: the mean of the two in the middle for an even number."""
+    return df.agg(F.median(value).alias("median"))
 
 
 def freshness(visibility: DataFrame, since: int | None = None) -> DataFrame:
-    """n, p95_ms, max_ms of the time from acceptance to first visibility, per receipt."""
+    """n, p95_ms, max_ms of the time from acceptance to first visibility, per receipt; since: accepted at or after this time."""
     rows = visibility if since is None else visibility.where(F.col("received_at") >= since)
-    first = rows.groupBy("receipt_id").agg((F.min("visible_at") - F.min("received_at")).alias("delay"))
-    return first.agg(F.count("*").alias("n"), exact_quantile(F.col("delay"), 0.95).alias("p95_ms"), F.max("delay").alias("max_ms"))
+    first = rows.groupBy("receipt_id").agg(at_least_zero(F.min("visible_at") - F.min("received_at")).alias("delay"))
+    return rank_quantile(first, "delay", 0.95).select("n", F.col("quantile").alias("p95_ms"), F.col("largest").alias("max_ms"))
+
+
+def exposition(gauges: dict[str, tuple[str, list[tuple[dict[str, str], float]]]]) -> str:
+    """Metrics by name, (help, [(labels, value)]), in the text format that scrapers read."""
+    quoted = lambda v: v.replace("\\", "\\\\").replace('"', '\\"').replace("\n", "\\n")
+    out = []
+    for name, (text, rows) in sorted(gauges.items()):
+        out += [f"# HELP {name} {text}", f"# TYPE {name} gauge"]
+        for labels, value in rows:
+            inner = ",".join(f'{k}="{quoted(str(v))}"' for k, v in sorted(labels.items()))
+            out.append(f"{name}{{{inner}}} {value:g}" if inner else f"{name} {value:g}")
+    return "\n".join(out) + "\n"
 
 
 def quality_summary(quality: DataFrame) -> DataFrame:

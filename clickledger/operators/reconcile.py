@@ -10,19 +10,22 @@ from clickledger.operators.metrics import nonzero
 
 
 def _comparable(metrics: DataFrame, associations: DataFrame, side: str) -> DataFrame:
-    """(kind, key, side): the fields that must agree, as JSON text."""
-    m = metrics.where(nonzero()).select(F.lit("metric").alias("kind"), F.col("metric_key").alias("key"), F.to_json(F.struct(*sorted(COUNTERS))).alias(side))
-    a = associations.select(F.lit("association").alias("kind"), F.col("association_key").alias("key"), F.to_json(F.array("status", "reason", "experiment_id", "variant")).alias(side))
+    """(kind, key, side): the fields that must agree, of either kind in one typed struct; the other kind's are null."""
+    none = lambda names, kind: [F.lit(None).cast(kind).alias(n) for n in names]
+    counts, texts = sorted(COUNTERS), ("status", "reason", "experiment_id", "variant")
+    m = metrics.where(nonzero()).select(F.lit("metric").alias("kind"), F.col("metric_key").alias("key"), F.struct(*[F.col(c).cast("bigint").alias(c) for c in counts], *none(texts, "string")).alias(side))
+    a = associations.select(F.lit("association").alias("kind"), F.col("association_key").alias("key"), F.struct(*none(counts, "bigint"), *texts).alias(side))
     return m.unionByName(a)
 
 
 def differences(expected: tuple[DataFrame, DataFrame], actual: tuple[DataFrame, DataFrame]) -> DataFrame:
     """(kind, key, expected, actual) of every key that differs; zero metrics are as good as absent ones.
 
-    One full outer join on (kind, key); null-safe inequality, so a missing side is a difference.
+    One full outer join on (kind, key); null-safe inequality, so a missing side is a difference. Only rows that differ become text.
     """
     left, right = _comparable(*expected, "expected"), _comparable(*actual, "actual")
-    return left.join(right, ["kind", "key"], "full_outer").where(~F.col("expected").eqNullSafe(F.col("actual")))
+    differing = left.join(right, ["kind", "key"], "full_outer").where(~F.col("expected").eqNullSafe(F.col("actual")))
+    return differing.select("kind", "key", F.to_json("expected").alias("expected"), F.to_json("actual").alias("actual"))
 
 
 def duplicate_keys(metrics: DataFrame, associations: DataFrame) -> DataFrame:
@@ -92,6 +95,12 @@ def missing_samples(acknowledged: DataFrame, archived: DataFrame, limit: int = 1
     return acknowledged.select("receipt_id").distinct().join(archived.select("receipt_id"), "receipt_id", "left_anti").orderBy("receipt_id").limit(limit)
 
 
+def pending_samples(archived: DataFrame, quality: DataFrame, limit: int = 100) -> DataFrame:
+    """Archived receipts that have no disposition yet, the first in order."""
+    terminal = quality.where("disposition <> 'signal'").select("receipt_id")
+    return archived.select("receipt_id").distinct().join(terminal, "receipt_id", "left_anti").orderBy("receipt_id").limit(limit)
+
+
 def fingerprint(df: DataFrame, exclude: tuple[str, ...] = ()) -> DataFrame:
     """rows, and an order-free 64-bit fingerprint of all rows; equal rows are told apart by their count."""
     cols = sorted(c for c in df.columns if c not in exclude)

@@ -1,109 +1,144 @@
-"""The raw archive: content-addressed line files with a manifest each as commit marker.
+"""The raw archive: content-addressed objects of lines with a manifest each as commit marker, on any file system that Spark writes to.
 
-Reading verifies every byte: file hash, number of lines, identity and hash of every value. Files without a manifest
-do not exist for readers; equal records in several objects are one; differing ones are an error.
+An object is the folder data/sha256=<hash of its lines>, its manifest the folder manifests/sha256=<the same>. Data is written before manifests, so what
+has no manifest does not exist for readers; writing the same records again finds their manifests and writes nothing. Reading
+verifies every byte: hash, number of lines, identity and hash of every value. Equal records in several objects are one; differing ones are an error.
 """
 
 from __future__ import annotations
 
-import hashlib
-import json
-import os
-from collections.abc import Iterable
-from pathlib import Path
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from clickledger.functions.contracts import canonical
+from clickledger.sources.files import HadoopFiles, LocalFiles
 
 RECORD = "topic string, partition int, offset bigint, value string"
-MANIFEST = "format_version int, data_key string, sha256 string, record_count bigint, records array<struct<topic:string,partition:int,offset:bigint,sha256:string>>"
-MAX_OBJECT_BYTES, MAX_MANIFEST_BYTES = 64 << 20, 8 << 20
-
-
-def _put_if_absent(path: Path, data: bytes) -> None:
-    """Create by rename; the same content again is fine, other content under the same name is an error."""
-    path.parent.mkdir(parents=True, exist_ok=True)
-    if path.exists():
-        if path.read_bytes() != data:
-            raise ValueError("an archive object cannot change")
-        return
-    draft = path.with_name(f".{path.name}.{os.getpid()}")
-    with draft.open("wb") as f:
-        f.write(data)
-        f.flush()
-        os.fsync(f.fileno())
-    draft.replace(path)
-
-
-def archive_batch(root: str, records: Iterable[tuple[str, int, int, str]]) -> str:
-    """Write one bounded batch of (topic, partition, offset, value): data first, then its manifest. Returns the data hash."""
-    rows = list(records)
-    data = "".join(canonical({"topic": t, "partition": p, "offset": o, "value": v}) + "\n" for t, p, o, v in rows).encode()
-    if len(data) > MAX_OBJECT_BYTES:
-        raise ValueError("an archive object is bounded; write several")
-    sha = hashlib.sha256(data).hexdigest()
-    _put_if_absent(Path(root, "data", f"{sha}.jsonl"), data)
-    manifest = {"format_version": 1, "data_key": f"data/{sha}.jsonl", "sha256": sha, "record_count": len(rows), "records": [{"topic": t, "partition": p, "offset": o, "sha256": hashlib.sha256(v.encode()).hexdigest()} for t, p, o, v in rows]}
-    _put_if_absent(Path(root, "manifests", f"{sha}.json"), canonical(manifest).encode())
-    return sha
+MANIFEST = "format_version int, sha256 string, record_count bigint, records array<struct<topic:string,partition:int,offset:bigint,sha256:string>>"
+#: Bounds of an object and of a manifest.
+MAX_OBJECT_ROWS, MAX_OBJECT_BYTES, MAX_MANIFEST_BYTES = 1000, 64 << 20, 8 << 20
+#: Objects that one step of an index refresh reads.
+STEP = 500
+
+_POSITION = ["topic", "partition", "offset"]
+
+
+def _names(spark: SparkSession, root: str, part: str) -> list[str]:
+    """Hashes that have a folder of this part."""
+    return [n.removeprefix("sha256=") for n in HadoopFiles(spark).names(f"{root}/{part}") if n.startswith("sha256=")]
+
+
+def _objects(records: DataFrame) -> DataFrame:
+    """(sha256, lines, records): records cut along their positions into objects of bounded rows and bytes."""
+    line = F.to_json(F.struct("offset", "partition", "topic", "value"))
+    along = Window.partitionBy("topic", "partition").orderBy("offset").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cut = records.select(*_POSITION, line.alias("line"), F.sha2("value", 256).alias("sha256")).withColumns({"_n": F.count("*").over(along), "_b": F.sum(F.octet_length("line")).over(along)})
+    placed = cut.withColumn("_object", F.concat_ws(":", F.floor((F.col("_n") - 1) / MAX_OBJECT_ROWS), F.floor(F.col("_b") / (MAX_OBJECT_BYTES // 2))))
+    whole = placed.groupBy("topic", "partition", "_object").agg(F.array_sort(F.collect_list(F.struct("offset", "line", "sha256"))).alias("r"))
+    lines = whole.select(F.transform("r", lambda x: x["line"]).alias("lines"), F.transform("r", lambda x: F.struct(F.col("topic").alias("topic"), F.col("partition").alias("partition"), x["offset"].alias("offset"), x["sha256"].alias("sha256"))).alias("records"))
+    return lines.select(F.sha2(F.concat(F.array_join("lines", "\n"), F.lit("\n")), 256).alias("sha256"), "lines", "records")
+
+
+def archive_batch(records: DataFrame, root: str) -> int:
+    """Archive (topic, partition, offset, value); the number of objects added."""
+    spark = records.sparkSession
+    root = root.rstrip("/")
+    there = spark.createDataFrame([(n,) for n in _names(spark, root, "manifests")], "sha256 string")
+    fresh = _objects(records).dropDuplicates(["sha256"]).join(there, "sha256", "left_anti").persist()
+    try:
+        n = fresh.count()
+        if n:
+            text = F.array_join("lines", "\n")
+            fresh.select("sha256", F.when(F.octet_length(text) > MAX_OBJECT_BYTES, F.raise_error(F.lit("an archive object is bounded"))).otherwise(text).alias("value")).write.mode("append").partitionBy("sha256").text(f"{root}/data")
+            manifest = F.to_json(F.struct(F.lit(2).alias("format_version"), "sha256", F.size("records").cast("bigint").alias("record_count"), "records"))
+            fresh.select("sha256", manifest.alias("value")).write.mode("append").partitionBy("sha256").text(f"{root}/manifests")
+        return n
+    finally:
+        fresh.unpersist()
 
 
 def archive_sink(root: str):
-    """A foreachBatch function that archives (topic, partition, offset, value), one object per task; repeating a batch rewrites the same names."""
+    """A foreachBatch function that archives (topic, partition, offset, value); repeating a batch adds nothing."""
+    return lambda batch, _: archive_batch(batch, root) and None
+
 
-    def write(batch: DataFrame, _: int) -> None:
-        def part(rows: Iterable) -> None:
-            chunk = [(r["topic"], r["partition"], r["offset"], r["value"]) for r in rows]
-            for i in range(0, len(chunk), 1000):
-                archive_batch(root, chunk[i : i + 1000])
+def _read(spark: SparkSession, root: str, part: str, names: list[str] | None, max_bytes: int) -> DataFrame:
+    """(sha256, text) of the files of a part; a file over its bound is an error."""
+    paths = [f"{root}/{part}"] if names is None else [f"{root}/{part}/sha256={n}" for n in names]
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").option("recursiveFileLookup", "true").load(paths)
+    text = F.when(F.col("length") > max_bytes, F.raise_error(F.lit("an archive file exceeds its bound"))).otherwise(F.col("content").cast("string"))
+    return files.select(F.regexp_extract("path", r"sha256=([0-9a-f]{64})/", 1).alias("sha256"), text.alias("text"))
 
-        batch.repartition("topic", "partition").sortWithinPartitions("topic", "partition", "offset").foreachPartition(part)
 
-    return write
+def manifests(spark: SparkSession, root: str, names: list[str] | None = None) -> DataFrame:
+    found = _read(spark, root.rstrip("/"), "manifests", names, MAX_MANIFEST_BYTES)
+    return found.select(F.col("sha256").alias("_name"), F.from_json("text", MANIFEST).alias("m")).select("_name", "m.*").dropDuplicates(["_name"])
 
 
-def manifests(spark: SparkSession, root: str) -> DataFrame:
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(f"{root}/manifests")
-    text = F.when(F.col("length") > MAX_MANIFEST_BYTES, F.raise_error(F.lit("a manifest exceeds its bound"))).otherwise(F.col("content").cast("string"))
-    return files.select(F.from_json(text, MANIFEST).alias("m")).select("m.*")
+def _refused(wrong: Column, why: str, value: Column) -> Column:
+    return F.when(wrong, F.raise_error(F.lit(why))).otherwise(value)
 
 
-def verified_records(spark: SparkSession, root: str, check: bool = True) -> DataFrame:
-    """(topic, partition, offset, value) of all manifested objects, one row per position, or an error if anything does not verify."""
-    listed = manifests(spark, root)
-    named = listed.select("sha256", "record_count", F.posexplode("records").alias("_i", "ref"))
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.jsonl").load(f"{root}/data")
-    stored = files.select(F.regexp_extract("path", r"([0-9a-f]{64})\.jsonl$", 1).alias("sha256"), F.sha2("content", 256).alias("_actual"), F.split(F.regexp_replace(F.col("content").cast("string"), "\n$", ""), "\n").alias("_lines"))
-    objects = listed.select("sha256", "record_count").join(stored, "sha256", "left")
-    wrong = F.col("_actual").isNull() | (F.col("_actual") != F.col("sha256")) | (F.size("_lines") != F.col("record_count"))
-    lines = objects.select("sha256", F.posexplode(F.when(wrong & F.lit(check), F.raise_error(F.lit("an archive object does not match its manifest"))).otherwise(F.col("_lines"))).alias("_i", "line"))
-    rows = lines.select("sha256", "_i", F.from_json("line", RECORD).alias("r")).join(named.select("sha256", "_i", "ref"), ["sha256", "_i"], "full_outer")
+def verified_records(spark: SparkSession, root: str, names: list[str] | None = None) -> DataFrame:
+    """(topic, partition, offset, value) of all manifested objects, or of some; one row per position, or an error if anything does not verify."""
+    root = root.rstrip("/")
+    listed = manifests(spark, root, names)
+    stored = _read(spark, root, "data", names, MAX_OBJECT_BYTES + 1).select("sha256", F.sha2("text", 256).alias("_actual"), F.split(F.regexp_replace("text", "\n$", ""), "\n").alias("_lines")).dropDuplicates(["sha256", "_actual"])
+    objects = listed.join(stored, listed["_name"] == stored["sha256"], "left").select("_name", "record_count", listed["sha256"].alias("_told"), "_actual", "_lines", "records")
+    wrong = F.col("_actual").isNull() | (F.col("_actual") != F.col("_name")) | ~F.col("_told").eqNullSafe(F.col("_name")) | (F.size("_lines") != F.col("record_count")) | (F.size("records") != F.col("record_count"))
+    lines = objects.select("_name", F.posexplode(_refused(wrong, "an archive object does not match its manifest", F.col("_lines"))).alias("_i", "line"), "records")
+    rows = lines.select("_name", F.from_json("line", RECORD).alias("r"), F.get("records", F.col("_i")).alias("ref"))
     same = F.col("r.topic").eqNullSafe(F.col("ref.topic")) & F.col("r.partition").eqNullSafe(F.col("ref.partition")) & F.col("r.offset").eqNullSafe(F.col("ref.offset")) & F.sha2("r.value", 256).eqNullSafe(F.col("ref.sha256"))
-    proved = rows.select(F.when(~same & F.lit(check), F.raise_error(F.lit("an archive record does not match its manifest"))).otherwise(F.col("r")).alias("r")).select("r.*")
-    one = proved.groupBy("topic", "partition", "offset").agg(F.min("value").alias("value"), F.max("value").alias("_last"))
-    return one.select("topic", "partition", "offset", F.when(~F.col("value").eqNullSafe(F.col("_last")), F.raise_error(F.lit("one position was archived with different values"))).otherwise(F.col("value")).alias("value"))
-
-
-def refresh_index(spark: SparkSession, root: str, index: str, audit: bool = False) -> int:
-    """Append the records of manifests that the Parquet index lacks; returns their number. audit verifies all, and an indexed manifest that is gone is an error."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(index)
-    known = spark.read.parquet(index).select("manifest").distinct() if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path) else spark.createDataFrame([], "manifest string")
-    listed = manifests(spark, root).select(F.col("sha256").alias("manifest"))
-    if known.join(listed, "manifest", "left_anti").limit(1).count():
-        raise ValueError("an indexed manifest has been removed")
-    if audit:
-        verified_records(spark, root).select(F.count("*")).first()
-    fresh = listed.join(known, "manifest", "left_anti")
-    n = fresh.count()
-    if n:
-        rows = manifests(spark, root).select(F.col("sha256").alias("manifest"), F.explode("records").alias("r")).select("manifest", "r.topic", "r.partition", "r.offset", "r.sha256")
-        values = verified_records(spark, root).select("topic", "partition", "offset", "value")
-        rows.join(fresh, "manifest", "left_semi").join(values, ["topic", "partition", "offset"]).write.mode("append").parquet(index)
-    return n
+    proved = rows.select("_name", _refused(~same, "an archive record does not match its manifest", F.col("r")).alias("r")).select("_name", "r.*")
+    one = proved.groupBy(*_POSITION).agg(F.min("value").alias("value"), F.max("value").alias("_last"))
+    return one.select(*_POSITION, _refused(~F.col("value").eqNullSafe(F.col("_last")), "one position was archived with different values", F.col("value")).alias("value"))
+
+
+class ArchiveIndex:
+    """Verified records as a Parquet table, one row per position, that grows by what the archive has gained: only new objects are read. An object counts as indexed when its name is, after its records."""
+
+    def __init__(self, spark: SparkSession, root: str, index: str):
+        self.spark, self.root, self.index = spark, root.rstrip("/"), index.rstrip("/")
+
+    def _table(self, name: str, schema: str) -> DataFrame:
+        if not HadoopFiles(self.spark).names(f"{self.index}/{name}"):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(f"{self.index}/{name}")
+
+    def records(self) -> DataFrame:
+        return self._table("records", RECORD)
+
+    def refresh(self, audit: bool = False) -> int:
+        """Index the objects of manifests that the index lacks; their number. An indexed manifest that is gone, and a position that comes again with another value, are errors. audit reads all."""
+        there = _names(self.spark, self.root, "manifests")
+        listed = self.spark.createDataFrame([(n,) for n in there], "manifest string")
+        known = self._table("manifests", "manifest string")
+        if known.join(listed, "manifest", "left_anti").limit(1).count():
+            raise ValueError("an indexed manifest has been removed")
+        if audit and there:
+            verified_records(self.spark, self.root).select(F.count("value")).first()
+        fresh = [r["manifest"] for r in listed.join(known, "manifest", "left_anti").orderBy("manifest").collect()]  # names of new objects
+        for i in range(0, len(fresh), STEP):
+            step = fresh[i : i + STEP]
+            rows = verified_records(self.spark, self.root, step).select(*_POSITION, "value").persist()
+            old = self.records().select(*_POSITION, F.col("value").alias("_old"))
+            try:
+                if rows.join(old, _POSITION).where(~F.col("value").eqNullSafe(F.col("_old"))).limit(1).count():
+                    raise ValueError("one position was archived with different values")
+                rows.join(old, _POSITION, "left_anti").write.mode("append").parquet(f"{self.index}/records")
+                self.spark.createDataFrame([(n,) for n in step], "manifest string").coalesce(1).write.mode("append").parquet(f"{self.index}/manifests")
+            finally:
+                rows.unpersist()
+        return len(fresh)
+
+    def trace(self, receipt_id: str, limit: int = 10) -> list:
+        """The raw records of one receipt; more than `limit` are an error."""
+        rows = self.records().where(F.get_json_object("value", "$.receipt_id") == receipt_id).orderBy(*_POSITION).limit(limit + 1).collect()
+        if len(rows) > limit:
+            raise ValueError("too many records of one receipt")
+        return rows
 
 
 def write_json(path: str, value: object) -> None:
-    Path(path).parent.mkdir(parents=True, exist_ok=True)
-    Path(path).write_text(json.dumps(value, indent=2, ensure_ascii=False) + "\n")
+    import json
+
+    LocalFiles().replace(path, (json.dumps(value, indent=2, ensure_ascii=False) + "\n").encode())
