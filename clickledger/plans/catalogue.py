@@ -6,15 +6,19 @@ independently.
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clickledger.functions import json as texts
 from clickledger.functions.contracts import COUNTERS, DIMENSIONS, Rules
 from clickledger.operators import metrics, monitor, paging, reconcile, results, validate
 from clickledger.plans import adapter
 from clickledger.plans.batch import Outcome, calculate
+from clickledger.sources import archive, collector
 from clickledger.sources import packets as sources
 
 RULES = Rules()
@@ -227,9 +231,12 @@ def latest_then_filter(spark, sf_dir):
     return rows.where(status.isin("pending", "matched")).select("output_key", status.alias("status"))
 
 
-@query(_CONTRIBUTED + " SELECT count(*) FILTER (false) AS pending FROM associations")
+@query(_CONTRIBUTED + " SELECT count(*) AS pending FROM associations WHERE CAST(split_part(receipt_id, ':', 2) AS BIGINT) % 3 = 0")
 def pending_count(spark, sf_dir):
-    return monitor.pending_count(results.latest_associations(_versions(spark, sf_dir), "replay-v1"))
+    """Conversions whose final version has not come yet: every third."""
+    rows = _versions(spark, sf_dir)
+    early = rows.where((F.col("output_offset") % 3 == 0) | (F.floor(F.col("output_offset") / 3) % 3 != 0))
+    return monitor.pending_count(results.latest_associations(early, "replay-v1"))
 
 
 @query(_CONTRIBUTED + " SELECT 'a:' || association_key AS output_key, status FROM associations ORDER BY 1 LIMIT 101")
@@ -405,10 +412,10 @@ def cdc_latest_versions(spark, sf_dir):
     return changes.select("campaign_id", "effective_from", "source_version", "channel", "deleted")
 
 
-@query(_BASE + " SELECT count(*) AS rows_in, count(DISTINCT ordinal) AS ordinals, max(ordinal_n) AS last FROM (SELECT ordinal, row_number() OVER (ORDER BY event_time, ordinal) - 1 AS ordinal_n FROM arrived)")
+@query(_BASE + " SELECT 'offline:' || ordinal AS receipt_id, row_number() OVER (ORDER BY event_time, ordinal) - 1 AS ordinal FROM arrived")
 def input_ordinal(spark, sf_dir):
     p = adapter.packets(spark, sf_dir).withColumn("index", F.col("ordinal"))
-    return sources.with_ordinal(p).agg(F.count("*").alias("rows_in"), F.count_distinct("ordinal").alias("ordinals"), F.max("ordinal").alias("last"))
+    return sources.with_ordinal(p).select("receipt_id", "ordinal")
 
 
 @query(_CONTRIBUTED + " SELECT DISTINCT channel, cohort_basis FROM metrics")
@@ -416,6 +423,146 @@ def distinct_labels(spark, sf_dir):
     return _outcome(spark, sf_dir).metrics.select("channel", "cohort_basis").distinct()
 
 
-@query()
+_FINGERPRINT = sorted((*_KEYS, *COUNTERS, "metric_key"))
+
+
+@query(_CONTRIBUTED + " SELECT count(*) AS rows, CAST(sum(CAST('0x' || substr(md5(concat_ws('|', " + ", ".join(f"CAST({c} AS VARCHAR)" for c in _FINGERPRINT) + ")), 1, 15) AS HUGEINT)) AS VARCHAR) AS fingerprint FROM metrics")
 def dataset_fingerprint(spark, sf_dir):
-    return reconcile.fingerprint(_outcome(spark, sf_dir).metrics)
+    return reconcile.fingerprint(_outcome(spark, sf_dir).metrics.select(*_FINGERPRINT))
+
+
+_BROKEN = """CASE ordinal % 10 WHEN 0 THEN true WHEN 1 THEN true WHEN 2 THEN true WHEN 3 THEN true WHEN 4 THEN region IS NOT NULL WHEN 5 THEN event_type = 'conversion' WHEN 6 THEN true WHEN 7 THEN event_type IN ('click', 'conversion') ELSE false END"""
+
+
+@query(_BASE + f" SELECT 'offline:' || ordinal AS receipt_id FROM arrived WHERE event_type = 'error' OR {_BROKEN}")
+def contract_violations(spark, sf_dir):
+    """Every part of the contract broken in some events: no object, a missing field, an unknown one, a wrong type, pattern, boolean, length, a field that the type requires."""
+    e, n = F.col("event"), F.col("ordinal") % 10
+    broken = (
+        F.when(n == 0, F.concat(F.lit("["), e, F.lit("]"))).when(n == 1, F.regexp_replace(e, '"user_id":"[^"]*",', "")).when(n == 2, F.regexp_replace(e, r"^\{", '{"extra":1,')).when(n == 3, F.regexp_replace(e, '"event_time":([0-9]+)', '"event_time":"$1"'))
+        .when(n == 4, F.regexp_replace(e, '"region":"[A-Z]*"', '"region":"us"')).when(n == 5, F.regexp_replace(e, '"value_minor":-?[0-9]+', '"value_minor":true')).when(n == 6, F.regexp_replace(e, '"event_id":"', '"event_id":"' + "x" * 128)).when(n == 7, F.regexp_replace(e, '"click_id":"[^"]*",', ""))
+        .otherwise(e)
+    )
+    packets = adapter.packets(spark, sf_dir).withColumn("event", broken)
+    return validate.disposition(packets, RULES).where("error_code = 'SCHEMA_INVALID'").select("receipt_id")
+
+
+@query(_CONTRIBUTED + " SELECT 'a:' || association_key AS output_key, status, reason FROM associations")
+def latest_tuple(spark, sf_dir):
+    return results.latest_fields(_versions(spark, sf_dir), "replay-v1", "association", "status", "reason")
+
+
+def _folder(spark: SparkSession, name: str) -> str:
+    """A folder for the tables that a query writes: where the session's executors share one, there; else, in local tests, a temporary one."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="clickledger-")
+    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def _store(spark: SparkSession) -> results.ResultStore:
+    return results.ResultStore(spark, _folder(spark, "store"))
+
+
+@query(_CONTRIBUTED + " SELECT 'a:' || association_key AS output_key, CAST(split_part(receipt_id, ':', 2) AS BIGINT) * 3 + v AS output_offset, CASE WHEN v = 0 THEN 'pending' ELSE status END AS status FROM associations, (VALUES (0), (1), (2)) AS t(v)")
+def sink_results(spark, sf_dir):
+    """Result messages delivered twice: every position is stored once."""
+    store, told = _store(spark), results.as_messages(_versions(spark, sf_dir), "live.results").persist()
+    for _ in range(2):
+        store.deliver(told, now=0)
+    told.unpersist()
+    return store.results.select("output_key", "output_offset", F.get_json_object("payload", "$.status").alias("status"))
+
+
+@query(_DISPOSED + " SELECT receipt_id, disposition, error_code FROM disposed")
+def sink_quality(spark, sf_dir):
+    store, rows = _store(spark), validate.quality_rows(_outcome(spark, sf_dir).disposed, RULES)
+    at = F.split("receipt_id", ":")[1].cast("bigint")
+    store.deliver(rows.select(F.lit("live.quality").alias("topic"), (at % 3).cast("int").alias("partition"), at.alias("offset"), F.to_json(F.struct("receipt_id", "disposition", "error_code", "rule_version")).alias("value")), now=0)
+    return store.table("quality").select("receipt_id", "disposition", "error_code")
+
+
+@query(_LINKED + " SELECT DISTINCT receipt_id, event_time + 250 AS received_at, 4102444800000 AS visible_at FROM clean")
+def sink_visibility(spark, sf_dir):
+    """Receipts that a metric message names become visible with it."""
+    o = _outcome(spark, sf_dir)
+    rows = metrics.contributions(o.clean, o.clicks, o.conversions, ("_receipt_id", "received_at", "event_time")).withColumn("window_start", F.floor(F.col("timestamp") / 60000) * 60000)
+    changed = results.with_receipts(rows, ["advertiser_id", "app_id", "campaign_id", "window_start", "cohort_basis"])
+    key = F.to_json(F.array(*[F.col(c).cast("string") for c in ("advertiser_id", "app_id", "campaign_id", "window_start", "cohort_basis")]))
+    value = F.to_json(F.struct(F.lit("live-v1").alias("release_id"), F.lit("metric").alias("record_type"), F.concat(F.lit("m:"), key).alias("output_key"), "received_at", F.struct("receipt_updates").alias("payload")))
+    store = _store(spark)
+    store.deliver(changed.select(F.lit("live.results").alias("topic"), F.lit(0).alias("partition"), F.xxhash64(key).alias("offset"), value.alias("value")), now=4102444800000)
+    return store.table("visibility").select("receipt_id", "received_at", "visible_at").distinct()
+
+
+@query(_CONTRIBUTED + f" SELECT metric_key, {', '.join(f'CASE WHEN campaign_id = $$campaign-1$$ THEN 0 ELSE {c} END AS {c}' for c in COUNTERS)} FROM metrics")
+def published_release(spark, sf_dir):
+    """A release published over a baseline whose campaign-1 it lacks: what readers get has zero rows for it."""
+    o, store = _outcome(spark, sf_dir), _store(spark)
+    store.publish("base", o.metrics, o.associations, now=0)
+    store.publish("next", o.metrics.where("campaign_id <> 'campaign-1'"), o.associations, baseline="base", now=0)
+    return results.latest_metrics(store.results, "next").select("metric_key", *COUNTERS)
+
+
+@query(_BASE + " SELECT ordinal % 3 AS partition, ordinal AS \"offset\", 'offline:' || ordinal || ' ' || event_type AS value FROM arrived")
+def archive_round_trip(spark, sf_dir):
+    """All traffic archived twice, indexed, and read from the index."""
+    rows = adapter.arrived(spark, sf_dir).select(F.lit("demo.raw").alias("topic"), (F.col("ordinal") % 3).cast("int").alias("partition"), F.col("ordinal").alias("offset"), F.concat(F.lit("offline:"), F.col("ordinal").cast("string"), F.lit(" "), F.col("event_type")).alias("value")).persist()
+    root = _folder(spark, "archive")
+    for _ in range(2):
+        archive.archive_batch(rows, root)
+    rows.unpersist()
+    index = archive.ArchiveIndex(spark, root, f"{root}-index")
+    index.refresh()
+    return index.records().select(F.col("partition").cast("bigint").alias("partition"), "offset", "value")
+
+
+@query(_BASE + " SELECT 'offline:' || ordinal AS receipt_id, row_number() OVER (ORDER BY event_time, ordinal) - 1 AS ordinal FROM arrived WHERE ordinal % 7 <> 0")
+def expected_packets(spark, sf_dir):
+    """Archived raw records that were acknowledged, in the input order."""
+    p = adapter.packets(spark, sf_dir)
+    envelope = F.to_json(F.struct("receipt_id", "received_at", F.col("ordinal").alias("index"), F.try_parse_json("event").alias("event")))
+    raw = p.select(F.lit("demo.raw").alias("topic"), F.lit(0).alias("partition"), F.col("ordinal").alias("offset"), envelope.alias("value"))
+    return sources.expected_packets(raw, p.where("ordinal % 7 <> 0")).select("receipt_id", "ordinal")
+
+
+@query(_DISPOSED + " SELECT receipt_id FROM disposed WHERE ordinal % 11 <> 0 AND ordinal % 50 = 0 ORDER BY 1 LIMIT 100")
+def pending_samples(spark, sf_dir):
+    return reconcile.pending_samples(_acknowledged(spark, sf_dir).where("ordinal % 11 <> 0"), _classified(spark, sf_dir))
+
+
+@query(_DISPOSED + " SELECT receipt_id, received_at + 90000 AS visible_at FROM disposed WHERE (ordinal // 1000) % 2 = 1")
+def visibility_of_prefix(spark, sf_dir):
+    """Of one load's batches only."""
+    batches = _manifests(spark, sf_dir).withColumn("client_batch_id", F.concat(F.lit("load-"), (F.regexp_extract("batch_id", "[0-9]+", 0).cast("bigint") % 2).cast("string"), F.lit(":"), "batch_id"))
+    seen = adapter.packets(spark, sf_dir).select("receipt_id", (F.col("received_at") + 90000).alias("visible_at"))
+    return collector.visible_of_prefix(seen, batches, "load-1:")
+
+
+@query("""SELECT event_id, json_extract(props, '$.k')::VARCHAR AS raw_k, CAST(json_extract(props, '$.k') AS BIGINT) AS unsigned_k, [CAST(event_id AS VARCHAR), '"x"'] AS items, CAST(event_id AS VARCHAR) AS sort_key, '{"id":' || event_id || '}' AS without, greatest(0, event_id - 100) AS clamped FROM events""")
+def json_functions(spark, sf_dir):
+    e = spark.read.parquet(f"{sf_dir}/events.parquet")
+    i = F.col("event_id").cast("string")
+    listed = F.concat(F.lit('{"a":['), i, F.lit(',"x"]}'))
+    bulky = F.concat(F.lit('{"id":'), i, F.lit(',"receipt_updates":[1,2]}'))
+    return e.select("event_id", texts.raw(F.col("props"), "k").alias("raw_k"), texts.unsigned(F.col("props"), "k").alias("unsigned_k"), texts.items(listed, "a").alias("items"), texts.element(F.concat(F.lit("["), i, F.lit("]")), 0).alias("sort_key"), texts.without_fields(bulky, "receipt_updates").alias("without"), texts.at_least_zero(F.col("event_id") - 100).alias("clamped"))
+
+
+@query("SELECT round(median(value), 6) AS median FROM events")
+def median_of_repeats(spark, sf_dir):
+    return monitor.median(spark.read.parquet(f"{sf_dir}/events.parquet"), "value").select(F.round("median", 6).alias("median"))
+
+
+@query(_DISPOSED + ", r AS (SELECT avg(CASE WHEN error_code = 'SCHEMA_INVALID' THEN 1.0 ELSE 0.0 END) AS e, avg(CASE WHEN disposition = 'duplicate' THEN 1.0 ELSE 0.0 END) AS d FROM disposed) SELECT e > 0.01 AS schema_error_rate, d > 0.05 AS duplicate_rate, true AS freshness FROM r")
+def alerts_broken(spark, sf_dir):
+    return monitor.alerts(_outcome(spark, sf_dir).quality, 61_000, RULES)
+
+
+@query(_BASE + ", f AS (SELECT list_sort(list(1000 + ordinal % 37001)) AS l FROM arrived WHERE event_time + 250 >= 1704672000000) SELECT len(l) AS n, l[CAST(floor(0.95 * len(l)) AS BIGINT) + 1] AS p95_ms, l[len(l)] AS max_ms FROM f")
+def freshness_since(spark, sf_dir):
+    return monitor.freshness(_visibility(spark, sf_dir), 1704672000000)
+
+
+@query("SELECT event_id, CASE event_id % 3 WHEN 0 THEN 'raw' WHEN 1 THEN 'receipt' ELSE 'dimension' END AS kind FROM events")
+def topic_classes(spark, sf_dir):
+    e = spark.read.parquet(f"{sf_dir}/events.parquet")
+    topic = F.concat(F.lit("x."), F.element_at(F.array(F.lit("raw"), F.lit("receipts"), F.lit("campaign_versions")), (F.col("event_id") % 3 + 1).cast("int")))
+    return e.select("event_id", sources.topic_kind(topic).alias("kind"))
