@@ -20,6 +20,7 @@ from clickledger.plans import adapter
 from clickledger.plans.batch import Outcome, calculate
 from clickledger.sources import archive, collector
 from clickledger.sources import packets as sources
+from clickledger.streaming import attribution
 
 RULES = Rules()
 _queries: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -566,3 +567,33 @@ def topic_classes(spark, sf_dir):
     e = spark.read.parquet(f"{sf_dir}/events.parquet")
     topic = F.concat(F.lit("x."), F.element_at(F.array(F.lit("raw"), F.lit("receipts"), F.lit("campaign_versions")), (F.col("event_id") % 3 + 1).cast("int")))
     return e.select("event_id", sources.topic_kind(topic).alias("kind"))
+
+
+_STREAMED = """ SELECT 'association' AS kind, 'a:' || association_key AS output_key, concat_ws(',', status, reason, experiment_id, variant) AS told FROM associations
+UNION ALL SELECT 'metric', 'm:' || metric_key, concat_ws(',', {}) FROM metrics""".format(", ".join(COUNTERS))
+
+
+@query(_CONTRIBUTED + _STREAMED)
+def streaming_attribution_converges(spark, sf_dir):
+    """The bounded streaming engine over all clean events in several files, and at the end two clock events that end every wait: the batch result. Waits are longer than the data, and the retention longer than the way to the clock events."""
+    day = 86_400_000
+    rules = Rules(join_wait_ms=400 * day, state_retention_ms=800 * day)
+    clean = _outcome(spark, sf_dir).clean
+    root = _folder(spark, "attribution")
+    clean.repartitionByRange(3, "ordinal").write.json(f"{root}/in")
+    clock = clean.where("event_type = 'impression'").orderBy("ordinal").limit(1).withColumn("advertiser_id", F.lit("clock"))
+    for i in (1, 2):
+        moved = clock.withColumns({"event_time": F.lit(1_704_067_200_000 + 500 * day + i).cast("bigint"), "impression_id": F.lit(f"clock-{i}"), "ordinal": F.lit(10**15 + i).cast("bigint"), "_receipt_id": F.lit(f"clock:{i}")})
+        moved.coalesce(1).write.mode("append").json(f"{root}/in")
+    old = {n: spark.conf.get(n, None) for n in ("spark.sql.shuffle.partitions", *attribution.STATE_OPTIONS)}
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    try:
+        stream = spark.readStream.schema(clean.schema).option("maxFilesPerTrigger", 2).json(f"{root}/in")
+        attribution.start(spark, stream, f"{root}/live", rules, adapter.campaigns(spark), availableNow=True).awaitTermination()
+    finally:
+        for n, v in old.items():
+            spark.conf.unset(n) if v is None else spark.conf.set(n, v)
+    get = lambda n: F.get_json_object("payload", f"$.{n}")
+    links = attribution.latest(spark, f"{root}/live", "association").select(F.lit("association").alias("kind"), "output_key", F.concat_ws(",", *map(get, ("status", "reason", "experiment_id", "variant"))).alias("told"))
+    sums = attribution.latest(spark, f"{root}/live", "metric").where(get("advertiser_id") != "clock").select(F.lit("metric").alias("kind"), "output_key", F.concat_ws(",", *map(get, COUNTERS)).alias("told"))
+    return links.unionByName(sums)

@@ -1,16 +1,17 @@
 from __future__ import annotations
 
 import json
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
 
-from clickledger.functions.contracts import PACKET, Rules
+from clickledger.functions.contracts import COUNTERS, PACKET, Rules
 from clickledger.operators import reconcile, results
 from clickledger.plans.batch import calculate
 from clickledger.sources import generator
 from clickledger.sources.packets import offline_packets
-from clickledger.streaming import clean
+from clickledger.streaming import attribution, clean
 from clickledger.streaming.live import LiveEngine
 
 from tests.helpers import BASE, event
@@ -122,3 +123,60 @@ def test_clean_query_dispositions(spark, tmp_path):
     got = spark.table("clean_out").groupBy("disposition").count().collect()
     want = calculate(packets).disposed.groupBy("disposition").count().collect()
     assert {tuple(r) for r in got} == {tuple(r) for r in want}
+
+
+def attributed(spark, path, kind, *names):
+    get = lambda n: F.get_json_object("payload", f"$.{n}")
+    return sorted(tuple(r) for r in attribution.latest(spark, path, kind).select("output_key", *map(get, names)).collect())
+
+
+@pytest.fixture
+def state_store(spark):
+    old = {n: spark.conf.get(n, None) for n in ("spark.sql.shuffle.partitions", *attribution.STATE_OPTIONS)}
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    for n, v in old.items():
+        spark.conf.unset(n) if v is None else spark.conf.set(n, v)
+
+
+def test_bounded_engine_converges_and_restarts(spark, tmp_path, state_store):
+    """Half of the traffic, then, from the checkpoint, the rest: together the batch result; late rows are not dropped."""
+    out = calculate(offline_packets(generator.transport(generator.truth(spark, 25), "mixed")))
+    clean = out.clean.cache()
+    middle = clean.approxQuantile("ordinal", [0.5], 0.0)[0]
+    stream = lambda: spark.readStream.schema(clean.schema).json(f"{tmp_path}/in")
+    for part in (clean.where(F.col("ordinal") <= middle), clean.where(F.col("ordinal") > middle)):
+        part.coalesce(1).write.mode("append").json(f"{tmp_path}/in")
+        q = attribution.start(spark, stream(), f"{tmp_path}/live", availableNow=True)
+        q.awaitTermination()
+        assert all(s["numRowsDroppedByWatermark"] == 0 for p in q.recentProgress for s in p["stateOperators"])
+    fields = ("status", "reason", "experiment_id", "variant")
+    assert attributed(spark, f"{tmp_path}/live", "association", *fields) == sorted(("a:" + r["association_key"], *(r[f] for f in fields)) for r in out.associations.collect())
+    assert attributed(spark, f"{tmp_path}/live", "metric", *COUNTERS) == sorted(("m:" + r["metric_key"], *(str(r[c]) for c in COUNTERS)) for r in out.metrics.collect())
+    shutil.rmtree(f"{tmp_path}/live/checkpoint")
+    with pytest.raises(ValueError):
+        attribution.start(spark, stream(), f"{tmp_path}/live", availableNow=True)
+
+
+def test_bounded_engine_waits_signals_and_forgets(spark, tmp_path, state_store):
+    hour = 3_600_000
+    batches = [
+        [event("conversion", "1"), event("impression", "9")],
+        [event("impression", "10", BASE + 3 * hour)],
+        [event("impression", "11", BASE + 3 * hour + 1, advertiser_id="other"), event("click", "1", BASE - 1000)],
+        [event("impression", "12", BASE + 40 * hour, advertiser_id="other")],
+        [event("impression", "13", BASE, advertiser_id="late"), event("impression", "14", BASE + 41 * hour, advertiser_id="other")],
+    ]
+    every = calculate(packets_of(spark, [e for b in batches for e in b])).clean.cache()
+    at, seen = 0, []
+    for b in batches:
+        every.where(f"ordinal >= {at} AND ordinal < {at + len(b)}").coalesce(1).write.mode("append").json(f"{tmp_path}/in")
+        at += len(b)
+        attribution.start(spark, spark.readStream.schema(every.schema).json(f"{tmp_path}/in"), f"{tmp_path}/live", availableNow=True).awaitTermination()
+        seen.append((attributed(spark, f"{tmp_path}/live", "association", "status", "reason")[0][1:], sorted(x[1:] for x in attributed(spark, f"{tmp_path}/live", "signal", "receipt_id", "error_code"))))
+    assert seen[0] == (("pending", "AWAITING_CLICK"), [])
+    over = ("r0", "CLICK_NOT_FOUND")
+    assert seen[1] == (("unmatched", "CLICK_NOT_FOUND"), [over])  # the wait ends when the watermark passes it
+    click = [("r4", "IMPRESSION_NOT_FOUND"), ("r4", "LATE_CLICK_REPLAY_REQUIRED")]
+    assert seen[2] == (("unmatched", "CLICK_NOT_FOUND"), [over, *click])  # what was told is not taken back
+    assert seen[4][1] == [over, *click, ("r6", "LATE_REPLAY_REQUIRED")]
