@@ -199,28 +199,29 @@ def shingle_sets(df: DataFrame, key: str, text: str, n: int, percent: int) -> Da
 
 
 def set_nodes(sets: DataFrame) -> DataFrame:
-    """(h1, h2, n_shingles, doc, mark, node, spares): one row per distinct set; node is the number of the row that stands for it, one with the smallest key; spares: by class, empty parts less those that are sure to be equal. sets: a stored shingle_sets() with row numbers."""
+    """(h1, h2, n_shingles, doc, mark, node): one row per distinct set; node is the number of the row that stands for it, one with the smallest key. sets: a stored shingle_sets() with row numbers."""
     known = sets.where("n_shingles > 0 and doc is not null")
-    facts = F.struct("doc", "row", "mark", F.transform("roles", lambda r: r["empty"] - r["sure"]).alias("spares"))
-    return known.groupBy("h1", "h2", "n_shingles").agg(F.min(facts).alias("s")).select("h1", "h2", "n_shingles", "s.doc", "s.mark", F.col("s.row").alias("node"), "s.spares")
+    return known.groupBy("h1", "h2", "n_shingles").agg(F.min(F.struct("doc", "row", "mark")).alias("s")).select("h1", "h2", "n_shingles", "s.doc", "s.mark", F.col("s.row").alias("node"))
 
 
 def candidate_ties(sets: DataFrame, nodes: DataFrame) -> DataFrame:
     """(a, b): ties between sets that may link, each set to the smallest one with which it keeps a signature in common.
 
-    Joins on tables that grow with the input are shuffled at any size.
+    Rows that repeat a set are left out by their numbers, a stored table: as long as it is small the planner sends it to the signatures, beyond that both
+    are shuffled. The signatures themselves are shuffled twice at any size, to be counted and to meet their counts.
     """
-    mine = sets.where("size(roles) > 0").select("row", "roles").join(nodes.select(F.col("node").alias("row")).hint("merge"), "row", "left_semi")
+    rows = sets.where("size(roles) > 0 and doc is not null")
+    copies = stored(rows.select("row").join(nodes.select(F.col("node").alias("row")), "row", "left_anti"), "set-copies")
+    own = rows.select("row", "roles").join(copies, "row", "left_anti").select(F.col("row"), F.posexplode("roles").alias("i", "r"))
     # A set and one of its at most two classes in one number; spare: empty parts less those that are sure to be equal.
-    own = mine.select(F.col("row"), F.posexplode("roles").alias("i", "r")).select((F.col("row") * 2 + F.col("i")).alias("as"), "r.*")
-    signed = own.select(F.explode("sigs").alias("sig"), "as")
+    own = own.select((F.col("row") * 2 + F.col("i")).alias("as"), (F.col("r.empty") - F.col("r.sure")).alias("spare"), "r.sigs", "r.absent")
+    signed = own.select("as", "spare", F.explode("sigs").alias("sig"))
     shared = signed.groupBy("sig").agg(F.count("*").alias("sets")).where("sets > 1")
     # The global order is by frequency, then signature; signatures of one set come first, of empty parts last.
-    ordered = signed.join(shared.hint("merge"), "sig").groupBy("as").agg(F.array_sort(F.collect_list(F.struct("sets", "sig"))).alias("s")).withColumn("node", F.shiftright("as", 1))
-    spare = F.get("spares", (F.col("as") % 2).cast("int"))
-    length = F.least(F.size("s") + spare + 1, F.size("s"))
-    kept = ordered.join(nodes.select("node", "spares").hint("merge"), "node").where(length > 0).select(F.explode(F.slice("s", F.lit(1), length)).alias("k"), "node").select(F.col("k.sig").alias("a"), F.col("node").alias("b"))
-    absent = own.where("empty >= sure").select(F.explode(F.slice(F.array_sort("absent"), F.lit(1), F.col("empty") - F.col("sure") + 1)).alias("a"), F.shiftright("as", 1).alias("b"))
+    ordered = signed.join(shared.hint("merge"), "sig").groupBy("as", "spare").agg(F.array_sort(F.collect_list(F.struct("sets", "sig"))).alias("s"))
+    length = F.least(F.size("s") + F.col("spare") + 1, F.size("s"))
+    kept = ordered.where(length > 0).select(F.explode(F.slice("s", F.lit(1), length)).alias("k"), "as").select(F.col("k.sig").alias("a"), F.shiftright("as", 1).alias("b"))
+    absent = own.where("spare >= 0").select(F.explode(F.slice(F.array_sort("absent"), F.lit(1), F.col("spare") + 1)).alias("a"), F.shiftright("as", 1).alias("b"))
     met = stored(kept.unionByName(absent), "kept-signatures")
     ties = stored(with_least(met).select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct(), "ties")
     drop_stored(met)
