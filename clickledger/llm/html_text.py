@@ -1,14 +1,18 @@
 """Operator 6: main text of web pages, with suffix arrays over each host.
 
 A page is cut into blocks by its markup; blocks inside elements that are never the main text (menus, headers,
-footers, sidebars, forms) or whose class names adverts, notices or readers' comments are dropped. Pages that mark
-their article give the article's blocks. For pages that mark none, the whole host decides: the token
+footers, sidebars, forms) or whose class names adverts, notices or readers' comments are dropped. Where pages mark
+their article, the host decides inside the marked part; where they mark none, it decides on the whole page: the token
 streams of pages are concatenated and their suffixes sorted to a depth of RUN tokens by prefix doubling. A token is in a repeated substring of
 RUN tokens or more exactly if it is in one of RUN tokens, so this depth finds all long ones. Runs are counted by the
 distinct pages of the host that have them, over all arrays; those on MIN_PAGES or more are boilerplate. Pages with the same longest block are
 copies of one article and count once, so that an article's copies do not make it boilerplate: what surrounds a run must differ.
 Covered runs are removed and unique runs stay. Blocks shorter than a run are named whole; repeated ones go if they are part of
 a stretch of repeated blocks at the page's edge or next to a long run, so that a heading between unique paragraphs stays.
+
+Inside marked articles long runs go that the host has both as boilerplate, in what the marks reject on MIN_PAGES pages or more, and inside MIN_PAGES articles:
+a line that only articles share is theirs, and a teaser stands inside its own article alone. Again copies count once, and where such runs cover COPIED of an
+article or more, all of it stays.
 """
 
 from __future__ import annotations
@@ -37,10 +41,14 @@ RUN = 16
 MIN_PAGES = 3
 #: Part of a block's tokens under repeated runs from which on nothing of the block stays.
 COVERED = 0.8
+#: Part of a marked article under repeated runs from which on all of it stays.
+COPIED = 0.5
 #: Part of a block that must be links for it to be one of a menu, and blocks of a menu.
 LINKED, LINKS = 0.8, 3
 #: Pages of a host that one slice of the last step has, on average; a slice reads all repeated runs of its host.
 SLICE_PAGES = 4096
+#: The same for marked articles, which get only what is boilerplate outside of articles.
+ARTICLE_SLICE = 512
 
 #: Element names of HTML.
 RAW = ("script", "style", "noscript", "template", "textarea", "title", "iframe", "noembed", "noframes", "xmp")
@@ -320,25 +328,24 @@ def _batch(schema: list[tuple[str, pa.DataType]], rows: list[tuple]) -> pa.Recor
 
 
 def _first_pass(plain: DataFrame, kind: str) -> DataFrame:
-    """A page with its text, where its own marks decide; else with its blocks. And the signature of each page's blocks."""
+    """A page with the long runs of what its marks reject, or without marks with its blocks; and the signature of each page's blocks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts, parts, noise, signs = [], [], [], []
+            outside, parts, noise, signs = [], [], [], []
             for i in range(len(b)):
                 bs = blocks(b.column(3)[i].as_py() or "")
                 keep = _by_mark(bs) if bs else []
                 body = [x.text for x in bs]
-                texts.append(None if keep is None else "\n".join(t for t, k in zip(body, keep, strict=True) if k))
+                outside.append(None if keep is None else long_runs([t for t, k in zip(body, keep, strict=True) if not k]).astype("<u8").tobytes())
                 parts.append(body if keep is None else None)
                 noise.append(_menus(bs) if keep is None else None)
                 signs.append(signature(body))
-            yield pa.RecordBatch.from_arrays(
-                [*b.columns[:3], pa.array(texts, pa.string()), pa.array(parts, pa.list_(pa.string())), pa.array(noise, pa.list_(pa.bool_())), pa.array(signs, pa.int64())], names=["_host", "_key", "_url", "text", "_blocks", "_noise", "_sign"]
-            )
+            columns = [pa.array(outside, pa.binary()), pa.array(parts, pa.list_(pa.string())), pa.array(noise, pa.list_(pa.bool_())), pa.array(signs, pa.int64())]
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], *columns], names=["_host", "_key", "_url", "_outside", "_blocks", "_noise", "_sign"])
             give_back()
 
-    return plain.select("_host", "_key", "_url", "_html").mapInArrow(run, f"_host string, _key {kind}, _url string, text string, _blocks array<string>, _noise array<boolean>, _sign bigint")
+    return plain.select("_host", "_key", "_url", "_html").mapInArrow(run, f"_host string, _key {kind}, _url string, _outside binary, _blocks array<string>, _noise array<boolean>, _sign bigint")
 
 
 def _marked_blocks(plain: DataFrame) -> DataFrame:
@@ -419,6 +426,174 @@ def _repeated(runs: DataFrame, parts: int, group_runs: int) -> DataFrame:
     return dealt.repartition(parts, "_host", "_group").sortWithinPartitions("_host", "_group").mapInArrow(add, "_host string, _names binary")
 
 
+def article_text(text: str, repeated: np.ndarray) -> str:
+    """A marked article without the host's repeated runs, given their names in order."""
+    s = Stream(text.split("\n"))
+    at, name = run_names(s.tokens, np.zeros(len(s.tokens), np.int64))
+    covered = _covered(len(s.tokens), at[_among(name, repeated)], RUN)
+    if not covered.any() or covered.sum() >= COPIED * len(covered):
+        return text
+    kept = []
+    for ws, under in zip(s.words, np.split(covered, np.cumsum(s.size)[:-1]), strict=True):
+        if under.sum() < COVERED * len(ws):
+            kept.append(" ".join(w for w, c in zip(ws, under.tolist(), strict=True) if not c))
+    return "\n".join(kept)
+
+
+def long_runs(texts: list[str]) -> np.ndarray:
+    """The distinct names of the runs of RUN tokens in blocks on end."""
+    s = Stream(texts)
+    return np.unique(run_names(s.tokens, np.zeros(len(s.tokens), np.int64))[1])
+
+
+def _told_first(pages_of: DataFrame, names: DataFrame, slices: DataFrame, parts: int) -> DataFrame:
+    """Pages (_host, _row, text and more) of hosts and the hosts' names (_host, _names), dealt so that a slice of a host's pages follows the host's names.
+
+    slices: (_host, _slices) of the hosts with more than one slice, which are few.
+    """
+    n = F.coalesce("_slices", F.lit(1))
+    asked = pages_of.join(F.broadcast(slices), "_host", "left").withColumn("_slice", F.pmod(F.xxhash64("_row"), n).cast("int")).drop("_slices", "_row")
+    told = names.join(F.broadcast(slices), "_host", "left").select("_host", "_names", F.explode(F.sequence(F.lit(0), n - 1)).alias("_slice"))
+    return asked.unionByName(told, allowMissingColumns=True).repartition(parts, "_host", "_slice").sortWithinPartitions("_host", "_slice", F.col("_names").isNull())
+
+
+def _after_names(b: pa.RecordBatch, state: list) -> Iterator[tuple[int, str, np.ndarray]]:
+    """(row, host, the host's names in order) of the pages of a batch of _told_first; state goes from batch to batch: slice, names, names in order."""
+    columns = [b.column(b.schema.get_field_index(n)) for n in ("_host", "_slice", "_names")]
+    for i, at in enumerate(zip(columns[0].to_pylist(), columns[1].to_pylist(), strict=True)):
+        if not state or at != state[0]:
+            state[:] = [at, [], None]
+        if columns[2][i].is_valid:
+            state[1].append(np.frombuffer(columns[2][i].as_py(), "<u8"))
+            continue
+        if state[2] is None:
+            state[2] = np.sort(np.concatenate(state[1])) if state[1] else np.zeros(0, np.uint64)
+        yield i, at[0], state[2]
+
+
+def _often(pages_of: DataFrame, big: DataFrame, parts: int) -> DataFrame:
+    """(_host, _names): the names that MIN_PAGES different pages of a host have, of pages (_host, _sign, _names), in pieces.
+
+    A host's names are dealt into groups, as many as `big` (_host, _groups) says.
+    """
+    pair = np.dtype([("name", "<u8"), ("sign", "<u4")])
+    schema = [("_host", pa.string()), ("_group", pa.int64()), ("_pairs", pa.binary())]
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, tuple[int, list[np.ndarray]]] = {}
+        size = 0
+
+        def rows() -> pa.RecordBatch:
+            out = []
+            for host, (n, every) in held.items():
+                pairs = np.unique(np.concatenate(every))
+                home = (pairs["name"] % np.uint64(n)).astype(np.int64)
+                out += [(host, int(g), pairs[home == g].tobytes()) for g in np.unique(home)]
+            held.clear()
+            return _batch(schema, out)
+
+        for b in batches:
+            for host, sign, names, groups in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
+                names = np.frombuffer(names, "<u8")
+                pairs = np.empty(len(names), pair)
+                pairs["name"], pairs["sign"] = names, sign & 0xFFFFFFFF
+                held.setdefault(host, (groups or 1, []))[1].append(pairs)
+                size += len(names)
+                if size >= HELD_TOKENS:
+                    yield rows()
+                    size = 0
+            give_back()
+        yield rows()
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, []
+
+        def answer() -> pa.RecordBatch:
+            every, count = np.unique(np.unique(np.concatenate(held))["name"], return_counts=True)
+            found = every[count >= MIN_PAGES]
+            return _batch([("_host", pa.string()), ("_names", pa.binary())], [(now[0], found.tobytes())] if len(found) else [])
+
+        for b in batches:
+            for host, group, pairs in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
+                if (host, group) != now:
+                    if held:
+                        yield answer()
+                    now, held = (host, group), []
+                held.append(np.frombuffer(pairs, pair))
+            give_back()
+        if held:
+            yield answer()
+
+    dealt = pages_of.select("_host", "_sign", "_names").join(F.broadcast(big), "_host", "left").mapInArrow(deal, "_host string, _group bigint, _pairs binary")
+    return dealt.repartition(parts, "_host", "_group").sortWithinPartitions("_host", "_group").mapInArrow(add, "_host string, _names binary")
+
+
+def _articles(plain: DataFrame, kind: str) -> DataFrame:
+    """(_host, _key, _url, text) of the pages that mark their article, by the marks, or have no blocks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            at, texts = [], []
+            for i, page in enumerate(b.column(3)):
+                bs = blocks(page.as_py() or "")
+                keep = _by_mark(bs) if bs else []
+                if keep is not None:
+                    at.append(i)
+                    texts.append("\n".join(x.text for x, k in zip(bs, keep, strict=True) if k))
+            yield pa.RecordBatch.from_arrays([*b.take(pa.array(at, pa.int64())).columns[:3], pa.array(texts, pa.string())], names=["_host", "_key", "_url", "text"])
+            give_back()
+
+    return plain.select("_host", "_key", "_url", "_html").mapInArrow(run, f"_host string, _key {kind}, _url string, text string")
+
+
+def _decided(first: DataFrame, plain: DataFrame, kind: str, parts: int, group_runs: int) -> DataFrame:
+    """(_key, _url, text) of the pages that mark their article, without the host's boilerplate inside it."""
+    outside = first.where("_outside IS NOT NULL").select("_host", "_sign", F.col("_outside").alias("_names"))
+    # Few hosts have more than one group: as many as group_runs goes into all their runs.
+    big = outside.groupBy("_host").agg(F.ceil(F.sum(F.octet_length("_names")) / (8 * group_runs)).cast("int").alias("_groups")).where("_groups > 1")
+    boilerplate = stored(_often(outside, big, parts), "html-outside")
+    slices = first.groupBy("_host").agg(F.ceil(F.count("_outside") / ARTICLE_SLICE).cast("int").alias("_slices")).where("_slices > 1")
+    articles = _articles(plain, kind)
+    if boilerplate.isEmpty():
+        return articles.drop("_host")
+    numbered = articles.where("text <> ''").withColumn("_row", F.monotonically_increasing_id())
+
+    def inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        state: list = []
+        for b in batches:
+            rows, column = [], b.column(b.schema.get_field_index("text"))
+            for i, host, names in _after_names(b, state):
+                body = column[i].as_py().split("\n")
+                mine = long_runs(body)
+                mine = mine[_among(mine, names)]
+                if len(mine):
+                    rows.append((host, signature(body), mine.astype("<u8").tobytes()))
+            yield _batch([("_host", pa.string()), ("_sign", pa.int64()), ("_names", pa.binary())], rows)
+            give_back()
+
+    asked = numbered.select("_host", "_row", "text").join(boilerplate.select("_host").distinct(), "_host", "left_semi")
+    found = _told_first(asked, boilerplate, slices, parts).mapInArrow(inside, "_host string, _sign bigint, _names binary")
+    repeated = stored(_often(found, big, parts), "html-inside")
+    if repeated.isEmpty():
+        return articles.drop("_host")
+    hosts = repeated.select("_host").distinct()
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        state: list = []
+        for b in batches:
+            at, texts, column = [], [], b.column(b.schema.get_field_index("text"))
+            for i, _, names in _after_names(b, state):
+                at.append(i)
+                texts.append(article_text(column[i].as_py(), names))
+            taken = b.take(pa.array(at, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*(taken.column(taken.schema.get_field_index(n)) for n in ("_key", "_url")), pa.array(texts, pa.string())], names=["_key", "_url", "text"])
+            give_back()
+
+    changed = _told_first(numbered.join(hosts, "_host", "left_semi"), repeated, slices, parts).mapInArrow(cut, f"_key {kind}, _url string, text string")
+    same = [articles.where("text = ''"), numbered.join(hosts, "_host", "left_anti")]
+    return changed.unionByName(same[0].select("_key", "_url", "text")).unionByName(same[1].select("_key", "_url", "text"))
+
+
 def extract(df: DataFrame, key: str = "page_id", url: str = "url", html: str = "html", pages: int = PAGES, group_runs: int = GROUP_RUNS) -> DataFrame:
     """One row per row of df: key, url, text, n_chars.
 
@@ -429,17 +604,17 @@ def extract(df: DataFrame, key: str = "page_id", url: str = "url", html: str = "
     plain = df.select(df[key].alias("_key"), df[url].alias("_url"), df[html].alias("_html")).withColumn("_host", host)
     kind = df.schema[key].dataType.simpleString()
     first = stored(_first_pass(plain, kind).withColumn("_row", F.monotonically_increasing_id()), "html-first")
-    decided = first.where("text IS NOT NULL").select(F.col("_key").alias(key), F.col("_url").alias(url), "text", F.length("text").cast("bigint").alias("n_chars"))
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    decided = _decided(first, plain, kind, parts, group_runs).select(F.col("_key").alias(key), F.col("_url").alias(url), "text", F.length("text").cast("bigint").alias("n_chars"))
     undecided = first.where("_blocks IS NOT NULL")
     if undecided.isEmpty():
         return decided
     # One page stands for all of a host with the same longest block.
     chosen = undecided.groupBy("_host", "_sign").agg(F.min("_row").alias("_row"))
     standing = undecided.join(chosen.select("_row"), "_row", "left_semi").select("_host", "_blocks")
-    hosts = first.groupBy("_host").agg(F.count("_blocks").alias("open"), F.count("text").alias("marked")).where("open > 0")
+    hosts = first.groupBy("_host").agg(F.count("_blocks").alias("open"), F.count("_outside").alias("marked")).where("open > 0")
     marked = _marked_blocks(plain.join(hosts.where("marked > 0").select("_host"), "_host", "left_semi")).dropDuplicates(["_host", "_sign"]).join(chosen.select("_host", "_sign"), ["_host", "_sign"], "left_anti")
     runs = stored(_runs(standing.unionByName(marked.select("_host", "_blocks")), pages), "html-runs")
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     answers = stored(_repeated(runs, parts, group_runs), "html-repeated")
     # A host's pages are dealt into slices, and each slice gets the host's repeated runs: a slice has a part of a large host's pages.
     slices = undecided.groupBy("_host").agg(F.ceil(F.count("*") / SLICE_PAGES).cast("int").alias("_slices"))

@@ -745,3 +745,35 @@ def test_edge_cases_of_embeddings_and_pages(spark):
     assert got == [(2, 1, 2, True), (3, 1, 2, False), (3, 1, 2, False)]
     pages = spark.createDataFrame([], "page_id long, url string, html string, text string")
     assert html_text.extract(pages).count() == 0
+
+
+def test_html_host_decides_inside_marked_articles(spark):
+    """A notice that a host has in its footers goes where three different marked articles have it inside; lines that only articles share, copies and the source of a teaser stay."""
+    r = random.Random(8)
+    words = lambda n: " ".join(f"w{r.randrange(10**9)}" for _ in range(n))
+    notice, line, short = words(25), words(25), "Read more"
+    blocks, want = [], []
+    for i in range(30):
+        a, b = words(60), words(40)
+        inside = {0: [notice], 1: [line]}.get(i % 5, [])
+        blocks.append([short, a, *inside, b, short])
+        want.append([short, a, *(inside if inside != [notice] else []), b, short])
+    start, teaser = words(40), blocks[2][1]
+    blocks.append([f"{start} {notice} and on"])  # inside a block
+    want.append([f"{start} and on"])
+    blocks.append([words(10), notice])  # more than half of the article
+    want.append(blocks[-1])
+    blocks += [blocks[3]] * 5
+    want += [blocks[3]] * 5
+    page = lambda ts, *more: "<nav>menu</nav><article>" + "".join(f"<p>{t}</p>" for t in ts) + "</article>" + "".join(f"<footer>{t}</footer>" for t in more)
+    rows = [(i, f"http://h.example/{i}", page(ts, *([notice] if i % 5 == 3 else [teaser] if i % 5 == 4 else []))) for i, ts in enumerate(blocks)]
+    # Footers of two pages, or articles of two, are too few.
+    rows += [(100 + i, f"http://other.example/{i}", page([words(50), notice], *([notice] if i < 2 else []))) for i in range(5)]
+    rows += [(200 + i, f"http://third.example/{i}", page([words(50), *([notice] if i < 2 else [])], notice)) for i in range(5)]
+    rows += [(300, None, "<article> </article>")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3, "page_id")
+    for more in ({}, {"group_runs": 20}):
+        got = {x["page_id"]: x for x in html_text.extract(df, **more).collect()}
+        assert [got[i]["text"] for i in range(len(want))] == ["\n".join(t) for t in want]
+        assert all(notice in got[i]["text"] for i in (100, 101, 102, 103, 104, 200, 201)) and got[300]["text"] == "" and len(got) == len(rows)
+        assert all(x["n_chars"] == len(x["text"]) for x in got.values())
